@@ -201,7 +201,8 @@ VIEWS["v_typed"] = """
 SELECT *, fin__config_tipo IN ('Troca', 'Upgrade', 'Downgrade') AS is_swap,
        CASE WHEN fin__config_tipo LIKE 'Primeira venda%' THEN 'Primeira venda' ELSE fin__config_tipo END AS class_label
 FROM v_lines
-WHERE fin__config_tipo <> 'Abandono total' AND product_id IN ('1', '3', '4', '5', '6', '8', '31', '32')
+WHERE fin__config_tipo IN ('Primeira venda', 'Primeira venda [Upsell]', 'Upsell', 'Troca', 'Upgrade', 'Downgrade')
+  AND product_id IN ('1', '3', '4', '5', '6', '8', '31', '32')
   AND data_inicio_assinatura >= DATE '1995-01-01'"""
 
 VIEWS["v_grain"] = """
@@ -372,13 +373,16 @@ SELECT coalesce(n.o_orderkey, b.o_orderkey) AS o_orderkey,
 FROM v_base_orders AS b FULL JOIN v_new_orders AS n ON n.o_orderkey = b.o_orderkey"""
 
 
-def compose(body: str) -> str:
-    """The statement with the views it uses, in dependency order."""
+def compose(body: str, given: frozenset[str] = frozenset()) -> str:
+    """The statement with the views it uses, in dependency order.
+
+    Names in ``given`` exist as tables and are not expanded.
+    """
     needed: set[str] = set()
     pending = [body]
     while pending:
         for name in re.findall(r"\bv_\w+", pending.pop()):
-            if name in VIEWS and name not in needed:
+            if name in VIEWS and name not in needed and name not in given:
                 needed.add(name)
                 pending.append(VIEWS[name])
     ctes = ",\n".join(f"{name} AS ({sql})" for name, sql in VIEWS.items() if name in needed)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldfit.config import SERVICE_PIPELINE, TO_SCHEDULE_STATUS
-from fieldfit.operators.relational import explode_items, has_items, in_scope, latest_per_key
+from fieldfit.operators.relational import explode_items, has_items, in_scope, latest_per_key, sparse_left_join
 
 OK, DIVERGENT, UNMATCHED = "ok", "divergente", "sem_match"
 
@@ -56,9 +56,9 @@ def esn_validation(tickets: DataFrame, deliveries: DataFrame, unique: bool = Fal
     expected = expected_serials(tickets)
     if unique:
         expected = expected.distinct()
-    owned = expected.join(newest_delivery(deliveries), "esn", "left").join(
-        ticket_company(tickets), "dono_ticket_id", "left"
-    )
+    owned = expected.join(newest_delivery(deliveries), "esn", "left")
+    # Serials no delivery knows have no owner ticket.
+    owned = sparse_left_join(owned, ticket_company(tickets), "dono_ticket_id", ["ticket_id", "esn"])
     status = (
         F.when(F.col("dono_company_id").isNull(), UNMATCHED)
         .when(F.col("dono_company_id") == F.col("company_id"), OK)

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldfit.session import checkpointed
+
 SPREAD_TASKS = 64
 
 
@@ -101,22 +103,24 @@ def drop_in(df: DataFrame, keys_df: DataFrame, key: str) -> DataFrame:
 
 
 def not_in(df: DataFrame, sub: DataFrame, key: str) -> DataFrame:
-    """SQL ``NOT IN (subquery)`` as a shuffled anti join.
+    """SQL ``NOT IN (subquery)`` as a shuffled join.
 
     One NULL in the subquery empties the result, a NULL probe is dropped, and
-    an empty subquery keeps every row. The two facts needed come from a scalar
-    subquery, because the null-aware join of the SQL form always broadcasts.
+    an empty subquery keeps every row. Which case holds must be known first,
+    and the null-aware join of the SQL form always broadcasts; so the distinct
+    keys are stored once (checkpoint) and serve both the check and the join.
+
+    A marked left join stays where it is written and shares its neighbours'
+    partitioning; an anti join would be pushed down to a shuffle of its own.
     """
-    keys = distinct_keys(sub, key)
-    facts = keys.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col(key).isNull()).alias("nulls"),
-    )
-    known = facts.select(F.struct("n", "nulls").alias("facts")).scalar()
-    rows = df.filter(
-        (known.getField("n") == 0) | ((known.getField("nulls") == 0) & F.col(key).isNotNull())
-    )
-    return rows.join(keys.filter(F.col(key).isNotNull()), key, "left_anti")
+    keys = checkpointed(distinct_keys(sub, key))
+    facts = keys.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("nulls")).first()
+    if facts["n"] == 0:
+        return df
+    if facts["nulls"]:
+        return df.filter(F.lit(False))
+    marked = keys.withColumn("_hit", F.lit(True))
+    return df.filter(F.col(key).isNotNull()).join(marked, key, "left").filter("_hit is null").drop("_hit")
 
 
 # --- joins ----------------------------------------------------------------
