@@ -38,9 +38,13 @@ class Sample:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        """A sample table; its file listing and schema are read once."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self._tables[name]
 
     # --- warehouse ---------------------------------------------------------
 
