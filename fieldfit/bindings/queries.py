@@ -28,6 +28,8 @@ from fieldfit.functions import measures
 from fieldfit.operators import contracts, esn, evolution, reconcile, relational, shipments, snapshots, tickets, visibility
 from fieldfit.plans import completeness, dashboard
 from fieldfit.plans.esn import validation_report
+from fieldfit.plans.sync import apply_payload
+from fieldfit.schemas import SNAPSHOTS
 from fieldfit.session import checkpointed, scratch_path
 from fieldfit.sources import SnapshotStore, load_bundle, load_chunks, load_payload, load_table, write_chunks
 from fieldfit.streaming import stream_upsert
@@ -133,6 +135,30 @@ def stream_merge(s: Sample) -> DataFrame:
     return store.current("orders")
 
 
+@query(
+    """SELECT t.ticket_id, t.company_id, t.esn_list, m.deal_id
+    FROM v_tickets AS t LEFT JOIN (
+      SELECT 'S' || l_orderkey AS ticket_id, CAST(max(l_partkey) AS VARCHAR) AS deal_id FROM lineitem GROUP BY 1) AS m
+    USING (ticket_id)"""
+)
+def synced_tickets(s: Sample) -> DataFrame:
+    """A whole payload applied to an older ticket snapshot."""
+    bundle, folder = scratch_path(s.spark, "bundle"), scratch_path(s.spark, "chunks")
+    built = s.tickets_sync()
+    store = SnapshotStore(s.spark, scratch_path(s.spark, "store"))
+    # Older: every CRM ticket without company; those outside the payload must go.
+    older = s.crm().select(F.col("hs_object_id").alias("ticket_id"))
+    empty = s.spark.createDataFrame([], SNAPSHOTS["tickets_sync"])
+    store.publish(empty.unionByName(older, allowMissingColumns=True), "tickets_sync")
+    write_chunks(built.select("ticket_id", "company_id", "esn_list"), f"{folder}/tickets-00.json", ["ticket_id"], 1000)
+    deals = s.table("lineitem").groupBy(F.concat(F.lit("S"), text("l_orderkey")).alias("ticket_id")).agg(
+        text(F.max("l_partkey")).alias("deal_id")
+    )
+    write_chunks(deals, f"{folder}/ticket_deal_ids-00.json", ["ticket_id"], 1000)
+    apply_payload(s.spark, store, bundle, folder, AS_OF_TS)
+    return store.current("tickets_sync").select("ticket_id", "company_id", "esn_list", "deal_id")
+
+
 # --- projections and filters ---------------------------------------------------
 
 @query("SELECT ticket_id, company_id AS empresa, ticket_associated_deal_id AS deal_id FROM v_cube")
@@ -240,10 +266,9 @@ def ticket_search(s: Sample) -> DataFrame:
     )
 
 
-@query("SELECT ticket_id, owner_squad FROM v_dash WHERE owner_squad = 'smb' AND owner_name LIKE 'Supplier%1'")
+@query("SELECT ticket_id, owner_squad FROM v_dash WHERE owner_squad = 'smb'")
 def squad_filter(s: Sample) -> DataFrame:
-    rows = dashboard.dashboard_filter(dash(s), squad="smb")
-    return rows.filter(F.col("owner_name").like("Supplier%1")).select("ticket_id", "owner_squad")
+    return dashboard.dashboard_filter(dash(s), squad="smb").select("ticket_id", "owner_squad")
 
 
 # --- contracts -------------------------------------------------------------------

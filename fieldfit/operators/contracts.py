@@ -120,16 +120,18 @@ def last_churn(lines: DataFrame) -> DataFrame:
 def first_sale(lines: DataFrame) -> DataFrame:
     """First sale day on or after the last churn, per company, in one scan.
 
-    Per company only the set of sale days is held, and the calendar bounds it.
+    Lines are first reduced to one row per (company, day); the calendar then
+    bounds what is held per company, however many lines it has.
     """
-    day = F.col(START).cast("date")
-    facts = (
+    churned = F.col(TYPE) == CHURN_TYPE
+    days = (
         lines.filter(F.col(TYPE).isin(CHURN_TYPE, *FIRST_SALE_TYPES))
-        .groupBy(COMPANY)
-        .agg(
-            F.max(F.when(F.col(TYPE) == CHURN_TYPE, day)).alias("churn"),
-            F.collect_set(F.when(F.col(TYPE) != CHURN_TYPE, day)).alias("days"),
-        )
+        .groupBy(COMPANY, F.col(START).cast("date").alias("day"))
+        .agg(F.max(churned).alias("churned"), F.max(~churned).alias("sold"))
+    )
+    facts = days.groupBy(COMPANY).agg(
+        F.max(F.when(F.col("churned"), F.col("day"))).alias("churn"),
+        F.collect_list(F.when(F.col("sold"), F.col("day"))).alias("days"),
     )
     # A NULL company meets no churn row in an equi-join.
     since = F.when(F.col(COMPANY).isNotNull(), F.col("churn"))

@@ -1,5 +1,13 @@
-from fieldfit.sources.payload import load_bundle, load_chunks, load_payload
+from fieldfit.sources.payload import load_bundle, load_chunks, load_payload, payload_columns
 from fieldfit.sources.store import SnapshotStore
 from fieldfit.sources.tables import load_table, write_chunks
 
-__all__ = ["SnapshotStore", "load_bundle", "load_chunks", "load_payload", "load_table", "write_chunks"]
+__all__ = [
+    "SnapshotStore",
+    "load_bundle",
+    "load_chunks",
+    "load_payload",
+    "load_table",
+    "payload_columns",
+    "write_chunks",
+]

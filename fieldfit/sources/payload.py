@@ -67,3 +67,28 @@ def load_payload(spark: SparkSession, bundle: str, folder: str, table: str, sche
     """Bundle rows, then chunk rows in file order."""
     first = load_bundle(spark, bundle, table, schema)
     return first.unionByName(load_chunks(spark, folder, table, schema), allowMissingColumns=True)
+
+
+def payload_columns(spark: SparkSession, bundle: str, folder: str, table: str) -> set[str]:
+    """Columns a payload carries, seen on the first file of each part.
+
+    All rows of a payload have the same keys, so one file tells; a column the
+    payload does not carry must not overwrite stored values.
+    """
+    found: set[str] = set()
+    for path in (bundle, f"{folder}/{table}-*.json"):
+        try:
+            first = spark.read.format("binaryFile").load(path).agg(F.min("path")).first()[0]
+        except AnalysisException as error:
+            if _missing(error):
+                continue
+            raise
+        if first is None:
+            continue
+        schema = spark.read.json(first, multiLine=True).schema
+        if path == bundle:
+            rows = schema[table].dataType if table in schema.names else None
+            schema = rows.elementType if isinstance(rows, T.ArrayType) else None
+        if isinstance(schema, T.StructType):
+            found |= set(schema.names)
+    return found

@@ -25,11 +25,13 @@ def write_chunks(
 ) -> None:
     """Files holding one JSON array each, of a fixed row count, ordered by key.
 
-    Rows are range-partitioned and sorted; a file's array is put together from
-    its ``rows_per_file`` neighbours only. ``wrap`` writes ``{wrap: [rows]}``
-    objects instead of bare arrays.
+    Rows are range-partitioned and sorted by key and then by all other columns,
+    so equal keys may be split and a repeated task gives the same files. A
+    file's array is put together from its ``rows_per_file`` neighbours only.
+    ``wrap`` writes ``{wrap: [rows]}`` objects instead of bare arrays.
     """
-    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    total_order = [*keys, *[c for c in df.columns if c not in keys]]
+    ordered = df.repartitionByRange(*total_order).sortWithinPartitions(*total_order)
     # The id counts up within a partition in its low 33 bits.
     place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
     placed = ordered.select(
