@@ -258,12 +258,10 @@ def first_sale_class(s: Sample) -> DataFrame:
 
 @query(
     """SELECT ticket_id, display_name FROM v_dash
-    WHERE display_name ILIKE '%cliente 1%' OR company_name ILIKE '%cliente 1%' OR subject_raw ILIKE '%cliente 1%'"""
+    WHERE concat_ws('|', display_name, company_name, ticket_id, company_id) ILIKE '%cliente 1%'"""
 )
 def ticket_search(s: Sample) -> DataFrame:
-    return relational.search(dash(s), "CLIENTE 1", ["display_name", "company_name", "subject_raw"]).select(
-        "ticket_id", "display_name"
-    )
+    return dashboard.search_dashboard(dash(s), "CLIENTE 1").select("ticket_id", "display_name")
 
 
 @query("SELECT ticket_id, owner_squad FROM v_dash WHERE owner_squad = 'smb'")

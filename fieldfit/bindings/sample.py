@@ -272,9 +272,8 @@ class Sample:
     def field(self) -> DataFrame:
         """Field snapshot: the newest event per service order."""
         ties = [F.desc(c) for c in ("prestador", "cliente", "status", "consultor")]
-        return latest_per_key(
-            field_status(self.field_events()), ["ordem_servico_raw"], [F.desc("data_agendada")], ties
-        )
+        order = [F.desc(F.col("data_agendada").cast("date"))]
+        return field_status(latest_per_key(self.field_events(), ["ordem_de_servico"], order, ties))
 
     def crm(self) -> DataFrame:
         rows = self.table("orders").join(self.order_serials(), F.expr("l_orderkey = o_orderkey"), "left")

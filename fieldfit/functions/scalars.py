@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SUFFIX = r"^(.*)-(\d+)$"
+SUFFIX = r"^(.*?)(?:-(\d+))?$"
 SUBJECT = r"\[SUPPLY \| [^\]]*\]\s*Instalação\s+(.+?)\s+Deal ID:"
 
 
@@ -41,10 +41,8 @@ def is_stale(col: Column, as_of: dt.datetime, days: int = 2) -> Column:
 
 def split_suffix(col: Column) -> tuple[Column, Column]:
     """``123-4`` -> (``123``, 4); without a suffix -> (text, NULL)."""
-    has_suffix = col.rlike(SUFFIX)
-    ident = F.when(has_suffix, F.regexp_extract(col, SUFFIX, 1)).otherwise(col)
-    number = F.when(has_suffix, F.regexp_extract(col, SUFFIX, 2).try_cast("int"))
-    return ident, number
+    number = F.nullif(F.regexp_extract(col, SUFFIX, 2), F.lit(""))
+    return F.regexp_extract(col, SUFFIX, 1), number.try_cast("int")
 
 
 def split_list(col: Column) -> tuple[Column, Column]:

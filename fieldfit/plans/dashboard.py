@@ -17,7 +17,7 @@ from fieldfit.config import (
 )
 from fieldfit.functions import bucket, days_open, is_stale, risk_status
 from fieldfit.operators.esn import esn_by_ticket
-from fieldfit.operators.relational import drop_in, latest_per_key, ordered, sparse_left_join
+from fieldfit.operators.relational import drop_in, latest_per_key, ordered, search, sparse_left_join
 from fieldfit.operators.tickets import field_main
 
 COMPLETENESS_COLUMNS = {
@@ -31,6 +31,7 @@ COMPLETENESS_COLUMNS = {
     "qtd_falta_nota_3": "completude_qtd_falta_nota_3",
     "dias_restantes_prazo": "completude_dias_restantes_prazo",
 }
+SEARCH_COLUMNS = ("display_name", "company_name", "ticket_id", "company_id", "id_grupo_economico")
 SCORE_COLUMNS = ("company_name", "basic_value_score", "instalation_completeness_grade", "mrr")
 
 
@@ -57,6 +58,7 @@ def dashboard(
     checks: DataFrame,
     as_of: dt.datetime,
     risk_col: str = "completude_nota_instalacao",
+    main_visit: str = "unsuffixed",
 ) -> DataFrame:
     """One row per ticket with squad, score, visit, completeness, serials and note.
 
@@ -67,7 +69,7 @@ def dashboard(
         F.col("hubspot_owner_id").alias("owner_hubspot_id"), F.col("squad").alias("owner_squad")
     )
     deals = completeness.select("deal_id", *[F.col(c).alias(n) for c, n in COMPLETENESS_COLUMNS.items()])
-    visits = field_main(field).select(
+    visits = field_main(field, main_visit).select(
         "ticket_id", F.col("status").alias("field_status"), "prestador", "consultor", "data_agendada"
     )
     out = sparse_left_join(tickets, squads, "owner_hubspot_id", ["ticket_id"])
@@ -130,6 +132,11 @@ def dashboard_filter(
     return dash
 
 
+def search_dashboard(dash: DataFrame, term: str) -> DataFrame:
+    """Text search over customer, company, ticket and, if present, group."""
+    return search(dash, term, [c for c in SEARCH_COLUMNS if c in dash.columns])
+
+
 def sort_dashboard(dash: DataFrame, by: str, descending: bool = True) -> DataFrame:
     """Order with the ticket as tie-break, so equal values split over ranges."""
     first = F.desc_nulls_last(by) if descending else F.asc_nulls_last(by)

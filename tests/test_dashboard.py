@@ -73,6 +73,8 @@ def test_dashboard_rows(board):
 def test_board_operators(board, frame, rows):
     assert rows(d.drop_acked(board, frame("ticket_id string", ("t1",), ("zz",))), "ticket_id") == [("t2",), ("t3",)]
     assert rows(d.dashboard_filter(board, squad="smb"), "ticket_id") == [("t1",)]
+    assert rows(d.search_dashboard(board, "T3"), "ticket_id") == [("t3",)]
+    assert d.search_dashboard(board, "c1").count() == 2
     assert rows(d.dashboard_filter(board, owner=9), "ticket_id") == [("t2",)]
     assert [r.ticket_id for r in d.sort_dashboard(board, "mrr").collect()] == ["t1", "t2", "t3"]
     assert rows(d.stale_badge(board, NOW), "ticket_id", "sync_desatualizado") == [("t1", True), ("t2", False), ("t3", False)]
