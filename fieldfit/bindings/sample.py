@@ -7,6 +7,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldfit.config import DEFAULT_RULES
 from fieldfit.functions import split_list
@@ -38,13 +39,18 @@ class Sample:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
-        self._tables: dict[str, DataFrame] = {}
+        self._schemas: dict[str, T.StructType] = {}
 
     def table(self, name: str) -> DataFrame:
-        """A sample table; its file listing and schema are read once."""
-        if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
-        return self._tables[name]
+        """A sample table; its schema is read from the files only once.
+
+        Every call gives a frame of its own, so that joins of tables derived
+        from the same files have no column identities to sort out.
+        """
+        path = f"{self.dir}/{name}.parquet"
+        if name not in self._schemas:
+            self._schemas[name] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
     # --- warehouse ---------------------------------------------------------
 
