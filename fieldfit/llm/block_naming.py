@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldfit.llm.common import HOT_ROWS, hottest, stored
+from fieldfit.llm.common import HOT_ROWS, HOT_VALUES, hottest, keep_rows, stored
 
 BLOCK_CHARS = 4096
 BUCKET_BITS = 20
@@ -139,7 +139,8 @@ def identities(
 def exact_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", block_chars: int = BLOCK_CHARS, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """One row per row of ``docs``: key, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
+    """One row per row of ``docs``: key, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``,
+    ``text_key`` (hash of the text as it stands).
 
     * NULL text counts as the empty text; texts equal after normalising white space
       form a group, of which the row with the smallest key stays.
@@ -148,7 +149,10 @@ def exact_duplicates(
     * Other columns of ``docs`` are not looked at and may have any name; an empty
       table gives an empty result.
     """
-    named = identities(docs, text, (key,), block_chars, hot_rows).withColumnRenamed(key, "_key")
+    docs = docs.select(
+        F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"), F.xxhash64(F.col(f"`{text}`")).alias("text_key")
+    )
+    named = identities(docs, "_text", ("_key", "text_key"), block_chars, hot_rows)
     named = stored(named, "identities")
     order = F.struct(F.col("_key").isNull().alias("none"), F.col("_key").alias("id"), F.col("_row").alias("row"))
     ident = ["_level", "_name"]
@@ -157,7 +161,7 @@ def exact_duplicates(
         "copy-groups",
     )
     # the largest groups (a bounded list) reach their rows by broadcast, the others by shuffle
-    hot = groups.where(F.col("group_size") >= hot_rows).orderBy(F.desc("group_size"), *ident).limit(2000)
+    hot = groups.where(F.col("group_size") >= hot_rows).orderBy(F.desc("group_size"), *ident).limit(HOT_VALUES)
     marked = named.join(F.broadcast(hot.withColumnsRenamed({"_first": "_f", "group_size": "_n"})), ident, "left")
     rest = marked.where(F.col("_n").isNull()).drop("_f", "_n").join(groups, ident, "left")
     whole = rest.unionByName(marked.where(F.col("_n").isNotNull()).withColumnsRenamed({"_f": "_first", "_n": "group_size"}))
@@ -167,9 +171,15 @@ def exact_duplicates(
         F.coalesce(F.col("group_size"), F.lit(1).cast("bigint")).alias("group_size"),
         F.coalesce(F.col("_first.row") == F.col("_row"), F.lit(True)).alias("kept"),
         "text_sha256",
+        "text_key",
     )
 
 
+def kept_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that stay when every group keeps one."""
+    return keep_rows(docs, exact_duplicates(docs, key, text), key, text)
+
+
 SQL = r"""
 WITH n AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents

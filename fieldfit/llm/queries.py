@@ -11,17 +11,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldfit.llm import block_naming
+from fieldfit.llm import blob_ledger, block_naming, simhash, token_counts
 from fieldfit.llm.common import table
 from fieldfit.session import tune
 
 
 def op4_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of ``documents``."""
-    return block_naming.exact_duplicates(table(tune(spark), sf_dir, "documents"))
+    return block_naming.exact_duplicates(table(tune(spark), sf_dir, "documents")).drop("text_key")
+
+
+def op5_token_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of ``documents``."""
+    return token_counts.token_counts(table(tune(spark), sf_dir, "documents"))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash components of ``documents``."""
+    return simhash.near_duplicates(table(tune(spark), sf_dir, "documents")).drop("text_key")
+
+
+def op10_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in ``documents``, scanned through a new ledger."""
+    return blob_ledger.report(table(tune(spark), sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_block_naming,)
+    f.__name__: f for f in (op4_block_naming, op5_token_transducer, op8_simhash, op10_blob_ledger)
 }
-SQL: dict[str, str] = {"op4_block_naming": block_naming.SQL}
+SQL: dict[str, str] = {"op4_block_naming": block_naming.SQL, "op10_blob_ledger": blob_ledger.SQL}
