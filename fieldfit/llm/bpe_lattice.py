@@ -27,7 +27,7 @@ def edges_while_merging(token: Symbols, rank: Callable) -> tuple[list, list] | N
     while len(parts) > 1:
         best, at = None, -1
         for i in range(len(parts) - 1):
-            r = rank(parts[i], parts[i + 1])
+            r = rank((parts[i], parts[i + 1]))
             if r is not None and (best is None or r < best):
                 best, at = r, i
         if best is None:
@@ -51,12 +51,13 @@ class Lattice:
         self.tokens = set(tokens)
         self.prefixes = {t[:i] for t in self.tokens for i in range(1, len(t))}
         self.longest = max(map(len, self.tokens), default=1)
-        self._ends: dict[Symbols, tuple | None] = {}
+        self._ends: dict[Symbols | None, tuple | None] = {None: ([(None, NEVER)], [(None, NEVER)])}
 
-    def _end(self, token: Symbols) -> tuple | None:
-        if token not in self._ends:
-            self._ends[token] = edges_while_merging(token, self.rank)
-        return self._ends[token]
+    def _end(self, token: Symbols | None) -> tuple | None:
+        if token in self._ends:
+            return self._ends[token]
+        ends = self._ends[token] = edges_while_merging(token, self.rank)
+        return ends
 
     def follows(self, left: Symbols | None, right: Symbols) -> bool:
         """Whether ``right`` may come after ``left`` (None: at the beginning).
@@ -64,18 +65,13 @@ class Lattice:
         It may unless a merge across the border comes before the merges that take
         up the symbols on its two sides; of equal ranks the left one comes first.
         """
-        after = self._end(right)
-        if after is None:
+        after, before = self._end(right), self._end(left)
+        if after is None or before is None:
             return False
-        if left is None:
-            return True
-        before = self._end(left)
-        if before is None:
-            return False
-        ends, starts, i, j = before[0], after[1], 0, 0
+        ends, starts, i, j, rank = before[0], after[1], 0, 0, self.rank
         while True:
             (x, up_x), (y, up_y) = ends[i], starts[j]
-            across = self.rank(x, y)
+            across = rank((x, y))
             if across is not None and across < up_x and across <= up_y:
                 return False
             if up_x <= up_y:
@@ -86,8 +82,11 @@ class Lattice:
                 j += 1
 
 
+BYTES = [bytes([b]) for b in range(256)]
+
+
 class CountTransducer:
-    """Deterministic transducer of a lattice: transitions carry the change of the token count.
+    """Deterministic transducer over bytes: transitions carry the change of the token count.
 
     A state holds, for every suffix that a longer token could still begin with, the
     last token before it and the token count up to it relative to the present one.
@@ -95,48 +94,44 @@ class CountTransducer:
     taken and kept; ``most`` bounds the states, beyond it compiling starts anew.
     """
 
-    def __init__(self, lattice: Lattice, most: int = 100_000):
+    def __init__(self, lattice: Lattice, most: int = 300_000):
         self.lattice, self.most = lattice, most
         self._reset()
 
     def _reset(self) -> None:
-        self.states: list[tuple] = []
-        self.number: dict[tuple, int] = {}
-        self.steps: list[dict] = []
-        self.start = self._state(((b"", None, 0),))
-
-    def _state(self, key: tuple) -> int:
-        if key not in self.number:
-            self.number[key] = len(self.states)
-            self.states.append(key)
-            self.steps.append({})
-        return self.number[key]
-
-    def _compile(self, state: int, symbol: Symbols) -> tuple[int, int]:
-        lattice = self.lattice
+        self.states: list[tuple] = [((b"", None, 0),)]
+        self.number: dict[tuple, int] = {self.states[0]: 0}
+        # (state, byte) in one integer to (next state, change + 128) in one integer
+        self.steps: dict[int, int] = {}
+
+    def _compile(self, state: int, byte: int) -> int:
+        lattice, symbol, delta = self.lattice, BYTES[byte], None
+        tokens, prefixes, open_ends = lattice.tokens, lattice.prefixes, []
         for suffix, before, count in self.states[state]:
             token = suffix + symbol
-            if token in lattice.tokens and lattice.follows(before, token):
+            if delta is None and token in tokens and lattice.follows(before, token):
                 delta, last = count + 1, token
-                break
-        else:
+            if token in prefixes:
+                open_ends.append((token, before, count))
+        if delta is None:
             raise ValueError(f"no token ends in {symbol!r}")
-        key = [
-            (suffix + symbol, before, count - delta)
-            for suffix, before, count in self.states[state]
-            if suffix + symbol in lattice.prefixes
-        ]
-        step = self.steps[state][symbol] = (self._state((*key, (symbol[:0], last, 0))), delta)
+        key = (*[(token, before, count - delta) for token, before, count in open_ends], (b"", last, 0))
+        to = self.number.get(key)
+        if to is None:
+            to = self.number[key] = len(self.states)
+            self.states.append(key)
+        step = self.steps[state << 8 | byte] = to << 8 | delta + 128
         return step
 
-    def count(self, word: Symbols) -> int:
+    def count(self, word: bytes) -> int:
         """Number of tokens of ``word``: the sum over the transitions."""
         if len(self.states) > self.most:
             self._reset()
-        state, total = self.start, 0
-        for i in range(len(word)):
-            symbol = word[i : i + 1]
-            step = self.steps[state].get(symbol) or self._compile(state, symbol)
-            state = step[0]
-            total += step[1]
+        state, total, taken = 0, 0, self.steps.get
+        for byte in word:
+            step = taken(state << 8 | byte)
+            if step is None:
+                step = self._compile(state, byte)
+            state = step >> 8
+            total += (step & 255) - 128
         return total

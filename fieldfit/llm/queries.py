@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldfit.llm import blob_ledger, block_naming, simhash, token_counts
+from fieldfit.llm import blob_ledger, block_naming, packing, simhash, token_counts
 from fieldfit.llm.common import table
 from fieldfit.session import tune
 
@@ -26,6 +26,11 @@ def op5_token_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(tune(spark), sf_dir, "documents"))
 
 
+def op6_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` packed into sequences of 4096 tokens."""
+    return packing.pack_documents(table(tune(spark), sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of ``documents``."""
     return simhash.near_duplicates(table(tune(spark), sf_dir, "documents")).drop("text_key")
@@ -37,6 +42,6 @@ def op10_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_block_naming, op5_token_transducer, op8_simhash, op10_blob_ledger)
+    f.__name__: f for f in (op4_block_naming, op5_token_transducer, op6_bin_completion, op8_simhash, op10_blob_ledger)
 }
 SQL: dict[str, str] = {"op4_block_naming": block_naming.SQL, "op10_blob_ledger": blob_ledger.SQL}

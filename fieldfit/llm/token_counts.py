@@ -58,12 +58,13 @@ class Counter:
             ranks[raw(a), raw(b)] = i
         special = [t["content"] for t in spec["added_tokens"]]
         tokens = [raw(t) for t in spec["model"]["vocab"] if t not in special]
-        self.transducer = CountTransducer(Lattice(tokens, lambda a, b: ranks.get((a, b))))
+        self.transducer = CountTransducer(Lattice(tokens, ranks.get))
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.words = regex.compile(public_tokenizers.PATTERN).findall
         # white space and the run after it: ends where the pre-tokenizer surely cuts
         self.pieces = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+").findall
         self.known: dict[str, int] = {}
+        self.known_words: dict[str, int] = {}
 
     def piece(self, piece: str) -> int:
         """Tokens of a text between two sure cuts."""
@@ -71,11 +72,22 @@ class Counter:
         if n is None:
             if len(self.known) >= CACHED_PIECES:
                 self.known.clear()
-            n = sum(self.transducer.count(w.encode()) for w in self.words(piece))
+            n = sum(map(self.word, self.words(piece)))
             if len(piece) <= 64:
                 self.known[piece] = n
         return n
 
+    def word(self, word: str) -> int:
+        """Tokens of one word of the pre-tokenizer."""
+        n = self.known_words.get(word)
+        if n is None:
+            if len(self.known_words) >= CACHED_PIECES:
+                self.known_words.clear()
+            n = self.transducer.count(word.encode())
+            if len(word) <= 64:
+                self.known_words[word] = n
+        return n
+
     def chunk_map(self, chunk: str) -> tuple[str, int, str | None]:
         """(head, count, tail); a chunk without a sure cut is a head alone."""
         pieces = self.pieces(chunk)
