@@ -17,8 +17,8 @@ from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -91,23 +91,23 @@ def pieces(docs: DataFrame, key: str, text: str, tokenizer: str, size: int, end_
     kind = docs.schema[key].dataType.simpleString()
     end = np.array([end_id], "<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_all = encoder(public_tokenizers.path(tokenizer)).encode_all
         for batch in batches:
             which, out = [], []
-            for row, ids in enumerate(encode_all(batch["_text"].tolist())):
+            for row, ids in enumerate(encode_all(batch["_text"].to_pylist())):
                 ids += end
                 for nth, at in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[at : at + 4 * size]
                     which.append(row)
                     out.append((nth, at // 4, len(part) // 4, zlib.crc32(part)))
             if out:
-                table = pd.DataFrame(out, columns=["piece", "start", "length", "ids_crc32"])
-                table.insert(0, "_key", batch["_key"].iloc[which].reset_index(drop=True))
-                yield table
+                piece, *rest = zip(*out)
+                columns = [batch["_key"].take(pa.array(which)), pa.array(piece, pa.int32()), *[pa.array(c, pa.int64()) for c in rest]]
+                yield pa.RecordBatch.from_arrays(columns, ["_key", "piece", "start", "length", "ids_crc32"])
 
     rows = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
-    return rows.mapInPandas(run, f"_key {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    return rows.mapInArrow(run, f"_key {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 def places(patterns: list[Pattern]) -> list[tuple[int, int, int, int, int]]:
@@ -165,17 +165,16 @@ def pack_documents(
     table = np.array(parts, np.int64).reshape(-1, 5)
     known = table[:, 0] << 44 | table[:, 1]
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length, number = batch["length"].to_numpy(), batch["_number"].to_numpy()
             at = table[np.searchsorted(known, length << 44 | number, side="right") - 1]
             nth = number - at[:, 1]
-            batch["sequence_id"] = at[:, 3] + nth // at[:, 2]
-            batch["offset"] = at[:, 4] + nth % at[:, 2] * length
-            yield batch.drop(columns="_number")
+            found = [pa.array(at[:, 3] + nth // at[:, 2]), pa.array(at[:, 4] + nth % at[:, 2] * length)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *found], [*batch.schema.names[:-1], "sequence_id", "offset"])
 
     kind = docs.schema[key].dataType.simpleString()
-    placed = numbered.mapInPandas(
+    placed = numbered.mapInArrow(
         place, f"_key {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
     )
     return placed.withColumnRenamed("_key", key)

@@ -11,11 +11,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldfit.llm import blob_ledger, block_naming, packing, simhash, token_counts
+from fieldfit.llm import blob_ledger, block_naming, language, mih, packing, simhash, text_density, token_counts
 from fieldfit.llm.common import table
 from fieldfit.session import tune
 
 
+def op1_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest neighbours in ``embeddings``."""
+    return mih.neighbours(table(tune(spark), sf_dir, "embeddings"))
+
+
+def op2_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main texts of ``pages``."""
+    return text_density.extract(table(tune(spark), sf_dir, "pages"))
+
+
+def op3_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of ``documents``."""
+    return language.languages(table(tune(spark), sf_dir, "documents"))
+
+
 def op4_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of ``documents``."""
     return block_naming.exact_duplicates(table(tune(spark), sf_dir, "documents")).drop("text_key")
@@ -42,6 +57,6 @@ def op10_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_block_naming, op5_token_transducer, op6_bin_completion, op8_simhash, op10_blob_ledger)
+    f.__name__: f for f in (op1_multi_index_hashing, op2_text_density, op3_language_crf, op4_block_naming, op5_token_transducer, op6_bin_completion, op8_simhash, op10_blob_ledger)
 }
 SQL: dict[str, str] = {"op4_block_naming": block_naming.SQL, "op10_blob_ledger": blob_ledger.SQL}

@@ -21,7 +21,7 @@ from functools import reduce
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,15 +63,17 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     """(key, ``text_key``, ``fp``) for every row: one pass, one text at a time."""
     kind = docs.schema[key].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(shingle_hashes(t, words)) for t in batch["_text"]]
-            yield pd.DataFrame({"_key": batch["_key"], "text_key": batch["text_key"], "fp": np.array(fps, np.int64)})
+            fps = [fingerprint(shingle_hashes(t.as_py(), words)) for t in batch["_text"]]
+            yield pa.RecordBatch.from_arrays(
+                [batch["_key"], batch["text_key"], pa.array(fps, pa.int64())], ["_key", "text_key", "fp"]
+            )
 
     rows = docs.select(
         F.col(f"`{key}`").alias("_key"), F.xxhash64(F.col(f"`{text}`")).alias("text_key"), F.col(f"`{text}`").alias("_text")
     )
-    return rows.mapInPandas(run, f"_key {kind}, text_key bigint, fp bigint")
+    return rows.mapInArrow(run, f"_key {kind}, text_key bigint, fp bigint")
 
 
 def entry_masks(max_bits: int) -> list[int]:
@@ -168,3 +170,19 @@ def near_duplicates(
     return rows.join(named, "fp").select(
         F.col("_key").alias(key), "text_key", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def kept_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay when every component keeps one.
+
+    The row with the smallest key stays, of several with that key one. Rows of a
+    component without any key stay.
+    """
+    named = near_duplicates(docs, key, text, words, max_bits)
+    first = named.where(F.col(key) == F.col("component_id")).groupBy(key).agg(F.min("text_key").alias("_first"))
+    decided = named.join(first.withColumnRenamed(key, "_id"), F.col(key) == F.col("_id"), "left").select(
+        key,
+        "text_key",
+        (F.col("component_id").isNull() | (F.col(key).eqNullSafe(F.col("component_id")) & F.col("text_key").eqNullSafe(F.col("_first")))).alias("kept"),
+    )
+    return keep_rows(docs, stored(decided, "near-decisions"), key, text)

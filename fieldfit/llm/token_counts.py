@@ -19,9 +19,8 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -155,16 +154,16 @@ def token_counts(
     """
     kind = docs.schema[key].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(public_tokenizers.path(tokenizer)).count
         for batch in batches:
-            n = np.fromiter(map(count, batch["_text"]), np.int64, len(batch))
-            yield pd.DataFrame({"_key": batch["_key"], "n_bytes": batch["n_bytes"], "n_tokens": n})
+            n = pa.array([count(t.as_py()) for t in batch["_text"]], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch["_key"], batch["n_bytes"], n], ["_key", "n_bytes", "n_tokens"])
 
     rows = docs.select(
         F.col(f"`{key}`").alias("_key"),
         F.octet_length(F.coalesce(F.col(f"`{text}`"), F.lit(""))).cast("bigint").alias("n_bytes"),
         F.col(f"`{text}`").alias("_text"),
     )
-    counted = rows.mapInPandas(run, f"_key {kind}, n_bytes bigint, n_tokens bigint")
+    counted = rows.mapInArrow(run, f"_key {kind}, n_bytes bigint, n_tokens bigint")
     return counted.select(F.col("_key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

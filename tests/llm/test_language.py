@@ -1,0 +1,69 @@
+"""Language ID: marginals against enumeration, held-out accuracy, odd rows."""
+
+import itertools
+import zlib
+
+import duckdb
+import numpy as np
+
+from conftest import SF
+from fieldfit.llm.crf import forward_backward, word_features
+from fieldfit.llm.language import languages, slices
+
+
+def test_marginals_equal_enumeration_of_all_labelings():
+    rng = np.random.default_rng(1)
+    scores, moves = rng.normal(size=(5, 3)).astype(np.float32), rng.normal(size=(3, 3)).astype(np.float32)
+    sequences = [np.array(s, np.int32) for s in ([0, 1, 2, 3], [4], [], [2, 2, 1], [1, 0])]
+    sums, each, pairs = forward_backward(sequences, scores, moves, each=True)
+    at, all_pairs = 0, np.zeros((3, 3))
+    for i, s in enumerate(sequences):
+        want, total, joint = np.zeros((len(s), 3)), 0.0, np.zeros((3, 3))
+        for y in itertools.product(range(3), repeat=len(s)):
+            w = np.exp(sum(scores[t, k] for t, k in zip(s, y)) + sum(moves[a, b] for a, b in zip(y, y[1:])))
+            total += w
+            for t, k in enumerate(y):
+                want[t, k] += w
+            for a, b in zip(y, y[1:]):
+                joint[a, b] += w
+        assert np.allclose(each[at : at + len(s)], want / total, atol=1e-5)
+        assert np.allclose(sums[i], (want / total).sum(axis=0), atol=1e-5)
+        all_pairs += joint / total
+        at += len(s)
+    assert np.allclose(pairs, all_pairs, atol=1e-5)
+
+
+def test_features_belong_to_their_word():
+    alone = [sorted(word_features([w])[1].tolist()) for w in ("the", "ä", "loweizer")]
+    who, what = word_features(["the", "ä", "loweizer"])
+    assert [sorted(what[who == i].tolist()) for i in range(3)] == alone
+
+
+def test_slices_cover_all():
+    texts = ["x" * 7_000_000, None, "y" * 7_000_000, "z" * 20_000_000, "w"]
+    assert list(slices(texts)) == [(0, 2), (2, 3), (3, 4), (4, 5)]
+    assert list(slices([])) == []
+
+
+def test_held_out_accuracy_on_the_sample(spark):
+    from fieldfit.llm.queries import op3_language_crf
+
+    got = {r.doc_id: r for r in op3_language_crf(spark, SF).collect()}
+    rows = duckdb.sql(f"SELECT doc_id, lang FROM '{SF}/documents.parquet'").fetchall()
+    assert len(got) == len(rows)
+    held = [(i, lang) for i, lang in rows if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert {i for i, _ in held} == {i for i, r in got.items() if r.held_out}
+    assert np.mean([got[i].lang_pred == lang for i, lang in held]) > 0.9
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_odd_rows(spark):
+    rows = [(i, "the cat and the dog", "en", "a") for i in range(9)] + [(i, "le chat et le chien", "fr", "a") for i in range(9, 19)]
+    rows += [(1 << 60, None, None, "a"), (None, "", "en", "b"), (7, "123 --", "fr", "b"), (7, "chat", None, "b"), (7, "chat", None, "b"), (8, "the dog " * 30_000, "fr", None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, score string")
+    out = languages(df).collect()
+    assert len(out) == len(rows)
+    assert [(r.lang_pred, r.score) for r in out if r.doc_id == 1 << 60 or r.doc_id is None] == [("und", 0.0)] * 2
+    assert sorted(r.lang_pred for r in out if r.doc_id == 7)[-1] == "und"
+    assert languages(df.where("false")).count() == 0
+    assert {r.lang_pred for r in languages(df.where("lang is null")).collect()} == {"und"}
