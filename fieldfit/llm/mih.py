@@ -194,7 +194,7 @@ def neighbours(
         F.pmod("entry", F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(asked - 1))).alias("part"), "entry", "rep", "v", "code"
     )
     at_query = probes.select(
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint").alias("block"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"),
         F.pmod(F.xxhash64("entry"), F.lit(asked)).cast("int").alias("part"), "entry", "v", "code",
     )
     shape = "query bigint, entry bigint, rep bigint, score double"
