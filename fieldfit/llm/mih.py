@@ -35,6 +35,7 @@ RADIUS_SHARE = 0.97  # share of true neighbours in the sample that the radius ha
 INDEX_BLOCK = 16_384
 QUERY_BLOCK = 4_096
 
+VALUES = np.arange(256)
 POPULATION = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
@@ -100,22 +101,28 @@ class Block:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray):
         self.ids, self.vectors, self.codes = ids, vectors, np.ascontiguousarray(codes)
-        self.lists = [np.argsort(codes[:, j], kind="stable") for j in range(codes.shape[1])]
-        self.starts = [np.searchsorted(codes[o, j], np.arange(257)) for j, o in enumerate(self.lists)]
+        self.columns = np.ascontiguousarray(codes.T)
+        self.lists = [np.argsort(c, kind="stable") for c in self.columns]
+        self.starts = [np.searchsorted(c[o], np.arange(257)) for c, o in zip(self.columns, self.lists)]
 
     def probe(self, code: np.ndarray, radius: int) -> np.ndarray:
-        """Rows of every code within the radius, found through their substrings."""
+        """Rows of every code within the radius, found through their substrings.
+
+        Few values to probe: their lists are read. Many: so much of the block is
+        in their lists that the substring's column is tested instead.
+        """
         within = radius // len(code)
         hit = np.zeros(len(self.ids), bool)
-        missing = len(hit)
         for j, value in enumerate(code):
-            near = np.flatnonzero(POPULATION[np.arange(256) ^ value] <= within)
-            starts, order = self.starts[j], self.lists[j]
-            for v in near:
-                hit[order[starts[v] : starts[v + 1]]] = True
-            missing = len(hit) - np.count_nonzero(hit)
-            if not missing:
-                break
+            near = POPULATION[VALUES ^ value] <= within
+            if within < 2:
+                starts, order = self.starts[j], self.lists[j]
+                for v in np.flatnonzero(near):
+                    hit[order[starts[v] : starts[v + 1]]] = True
+            else:
+                hit |= near[self.columns[j]]
+                if hit.all():
+                    break
         rows = np.flatnonzero(hit)
         return rows[distances(code, self.codes[rows]) <= radius]
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldfit.llm import blob_ledger, block_naming, language, mih, packing, simhash, text_density, token_counts
+from fieldfit.llm import backoff, blob_ledger, block_naming, language, mih, packing, simhash, text_density, token_counts
 from fieldfit.llm.common import table
 from fieldfit.session import tune
 
@@ -51,12 +51,17 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(tune(spark), sf_dir, "documents")).drop("text_key")
 
 
+def op9_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of ``documents`` against the rest of the corpus."""
+    return backoff.scores(table(tune(spark), sf_dir, "documents"))
+
+
 def op10_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in ``documents``, scanned through a new ledger."""
     return blob_ledger.report(table(tune(spark), sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_multi_index_hashing, op2_text_density, op3_language_crf, op4_block_naming, op5_token_transducer, op6_bin_completion, op8_simhash, op10_blob_ledger)
+    f.__name__: f for f in (op1_multi_index_hashing, op2_text_density, op3_language_crf, op4_block_naming, op5_token_transducer, op6_bin_completion, op8_simhash, op9_stupid_backoff, op10_blob_ledger)
 }
 SQL: dict[str, str] = {"op4_block_naming": block_naming.SQL, "op10_blob_ledger": blob_ledger.SQL}
