@@ -11,6 +11,8 @@ size, so a length that a third of all documents share is no task's burden.
 
 from __future__ import annotations
 
+import gc
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -21,7 +23,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from fieldfit.llm.bin_completion import Pattern, pack
 from fieldfit.llm.common import stored
@@ -29,35 +31,68 @@ from fieldfit.llm.common import stored
 SIZE = 4096
 END_ID = 1
 SLICE_ROWS = 10_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000
 BATCH_CHARS = 2_000_000
 
 
+# A run of letters that are in composed form whatever the normaliser does, and marks
+# after it: the pre-tokenizer cuts between the two (an apostrophe may go either way).
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+
+
 class Encoder:
     """Ids of texts by a tokenizer whose words never cross blanks.
 
     Every run without a blank is encoded once by the library and kept; a text's ids
-    are those of its runs in order.
+    are those of its runs in order. A run of plain letters is looked up in lower
+    case without the marks behind it, so that few different ones remain.
     """
 
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
+        self.full = Tokenizer.from_file(path)
+        # The same model for words already in lower case: cut at blanks alone.
+        self.light = Tokenizer.from_file(path)
+        self.light.normalizer = normalizers.Sequence([])
+        self.light.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.ends = np.zeros(max(self.full.get_vocab().values()) + 1, bool)
+        self.ends[[i for t, i in self.full.get_vocab().items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
+        self.letters: dict[str, bytes] = {}
 
     def learn(self, words: set[str]) -> None:
-        """Encode unknown words: many in one call, told apart by their offsets."""
+        """Encode unknown words."""
         if len(self.known) + len(words) > CACHED_WORDS:
             self.known = {"": b""}
-        todo = list(words)
-        for at in range(0, len(todo), 20_000):
-            part = todo[at : at + 20_000]
+        plain, lows, marks, other = [], [], [], set()
+        for w in words:
+            m = PLAIN(w)
+            if m:
+                plain.append(w)
+                lows.append(m[1].lower())
+                marks.append(m[2])
+            else:
+                other.add(w)
+        self.learn_letters(set(lows))
+        other = other.union(marks).difference(self.known)
+        for part in parts_of(other):
             starts = np.array([0, *accumulate(len(w) + 1 for w in part)])
-            done = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            done = self.full.encode(" ".join(part), add_special_tokens=False)
             ids = np.array(done.ids, "<u4")
             where = np.fromiter((o[0] for o in done.offsets), np.int64, len(ids))
-            cuts = np.searchsorted(where, starts)
-            raw = ids.tobytes()
-            self.known.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(part, cuts[:-1].tolist(), cuts[1:].tolist()))
+            self.known.update(zip(part, split_at(ids, np.searchsorted(where, starts))))
+        letters, known = self.letters, self.known
+        known.update(zip(plain, [letters[low] + known[mark] for low, mark in zip(lows, marks)]))
+
+    def learn_letters(self, words: set[str]) -> None:
+        todo = words.difference(self.letters)
+        if len(self.letters) + len(todo) > CACHED_WORDS:
+            self.letters, todo = {}, words
+        for part in parts_of(todo):
+            ids = np.array(self.light.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            cuts = np.concatenate(([0], np.flatnonzero(self.ends[ids]) + 1))
+            self.letters.update(zip(part, split_at(ids, cuts)))
 
     def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of every text as little-endian unsigned 32-bit integers."""
@@ -72,14 +107,26 @@ class Encoder:
             fresh = need.difference(self.known)
             if fresh:
                 before = self.known
+                gc.disable()  # many small objects, none of them in cycles
                 self.learn(fresh)
                 if self.known is not before:  # started anew: the other words are needed too
                     self.learn(need.difference(self.known))
+                gc.enable()
             for words in split:
                 yield b"".join(map(self.known.__getitem__, words))
             at = upto
 
 
+def parts_of(words: set[str]) -> Iterator[list[str]]:
+    todo = list(words)
+    return (todo[at : at + 500] for at in range(0, len(todo), 500))
+
+
+def split_at(ids: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+    raw, cuts = ids.tobytes(), (4 * cuts).tolist()
+    return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One tokenizer per worker process."""
