@@ -30,7 +30,7 @@ from fieldfit.llm.common import stored
 
 SIZE = 4096
 END_ID = 1
-SLICE_ROWS = 10_000
+SLICE_ROWS = 1_000
 CACHED_WORDS = 300_000
 BATCH_CHARS = 2_000_000
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldfit.llm import backoff, blob_ledger, block_naming, language, mih, packing, simhash, text_density, token_counts
+from fieldfit.llm import backoff, blob_ledger, block_naming, language, mih, packing, sentence_pieces, simhash, text_density, token_counts
 from fieldfit.llm.common import table
 from fieldfit.session import tune
 
@@ -46,6 +46,11 @@ def op6_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(tune(spark), sf_dir, "documents"))
 
 
+def op7_streaming_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece encoding and decoding of ``documents``."""
+    return sentence_pieces.round_trips(table(tune(spark), sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of ``documents``."""
     return simhash.near_duplicates(table(tune(spark), sf_dir, "documents")).drop("text_key")
@@ -62,6 +67,6 @@ def op10_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_multi_index_hashing, op2_text_density, op3_language_crf, op4_block_naming, op5_token_transducer, op6_bin_completion, op8_simhash, op9_stupid_backoff, op10_blob_ledger)
+    f.__name__: f for f in (op1_multi_index_hashing, op2_text_density, op3_language_crf, op4_block_naming, op5_token_transducer, op6_bin_completion, op7_streaming_viterbi, op8_simhash, op9_stupid_backoff, op10_blob_ledger)
 }
 SQL: dict[str, str] = {"op4_block_naming": block_naming.SQL, "op10_blob_ledger": blob_ledger.SQL}
