@@ -116,6 +116,21 @@ def chunk_files(s: Sample) -> DataFrame:
     return back.join(sizes, "arrival_file").select(*ORDER_SCHEMA.names, "file_fits")
 
 
+@query(
+    """SELECT coalesce(n.o_orderkey, b.o_orderkey) AS o_orderkey, coalesce(n.o_orderstatus, b.o_orderstatus) AS o_orderstatus,
+      CASE WHEN n.o_orderstatus = 'NO' THEN n.o_totalprice ELSE b.o_totalprice END AS o_totalprice, b.o_orderpriority
+    FROM v_base_orders AS b FULL JOIN v_new_orders AS n USING (o_orderkey)"""
+)
+def mixed_payload_rows(s: Sample) -> DataFrame:
+    """Chunk files that carry different columns: none speaks for the rows of another."""
+    folder, new = scratch_path(s.spark, "chunks"), new_orders(s)
+    write_chunks(new.select("o_orderkey", "o_orderstatus"), f"{folder}/orders-00.json", ["o_orderkey"], 1000)
+    priced = new.filter("o_orderstatus = 'NO'").select("o_orderkey", "o_totalprice")
+    write_chunks(priced, f"{folder}/orders-01.json", ["o_orderkey"], 1000)
+    rows = load_chunks(s.spark, folder, "orders", ORDER_SCHEMA)
+    return snapshots.upsert(base_orders(s), rows, ["o_orderkey"])
+
+
 @query("SELECT * FROM v_upserted")
 def published_version(s: Sample) -> DataFrame:
     store = SnapshotStore(s.spark, scratch_path(s.spark, "store"))
@@ -258,12 +273,18 @@ def first_sale_class(s: Sample) -> DataFrame:
 
 @query(
     """SELECT ticket_id, display_name FROM v_dash
-    WHERE concat_ws('|', display_name, company_name, ticket_id, company_id) ILIKE '%cliente 1%'"""
+    WHERE concat_ws('|', display_name, company_name, ticket_id, company_id, id_grupo_economico) ILIKE '%cliente 1%'"""
 )
 def ticket_search(s: Sample) -> DataFrame:
     return dashboard.search_dashboard(dash(s), "CLIENTE 1").select("ticket_id", "display_name")
 
 
+@query("SELECT ticket_id, id_grupo_economico FROM v_dash WHERE lower(id_grupo_economico) LIKE '%g1%'")
+def group_search(s: Sample) -> DataFrame:
+    """No other searched column holds the term."""
+    return dashboard.search_dashboard(dash(s), "G1").select("ticket_id", "id_grupo_economico")
+
+
 @query("SELECT ticket_id, owner_squad FROM v_dash WHERE owner_squad = 'smb'")
 def squad_filter(s: Sample) -> DataFrame:
     return dashboard.dashboard_filter(dash(s), squad="smb").select("ticket_id", "owner_squad")
@@ -676,9 +697,9 @@ def field_main_lowest(s: Sample) -> DataFrame:
 
 
 @query(
-    """SELECT hs_object_id AS ticket_id, hs_pipeline_stage = '263641' AS in_agendar_instalacao FROM v_crm
-    WHERE hs_pipeline_stage = '263641'
-    UNION ALL SELECT hs_object_id, false FROM v_crm WHERE hs_pipeline_stage <> '263641'
+    """SELECT hs_object_id AS ticket_id, true AS in_agendar_instalacao FROM v_crm
+    WHERE hs_pipeline = '263640' AND hs_pipeline_stage = '263641'
+    UNION ALL SELECT hs_object_id, false FROM v_crm WHERE (hs_pipeline <> '263640' OR hs_pipeline_stage <> '263641')
       AND hs_object_id IN (SELECT ticket_id FROM v_field_all WHERE status = 'CONCLUÍDA')"""
 )
 def ticket_scope(s: Sample) -> DataFrame:
@@ -702,8 +723,8 @@ def owner_names(s: Sample) -> DataFrame:
 
 
 @query(
-    """SELECT hs_object_id, low_part || ',' || high_part AS esn_list, CAST(2 AS BIGINT) AS esn_count FROM v_crm WHERE low_part IS NOT NULL
-    UNION ALL SELECT hs_object_id, '', 0 FROM v_crm WHERE low_part IS NULL"""
+    """SELECT hs_object_id, coalesce(array_to_string(parts, ','), '') AS esn_list, CAST(coalesce(len(parts), 0) AS BIGINT) AS esn_count
+    FROM v_crm"""
 )
 def serial_lists(s: Sample) -> DataFrame:
     return s.serial_text()
@@ -798,8 +819,8 @@ def upsert(s: Sample) -> DataFrame:
 
 @query(
     """SELECT ticket_id, esn, coalesce(n.esn_status, b.esn_status) AS esn_status FROM
-    (SELECT ticket_id, esn, 'antigo' AS esn_status FROM v_pairs WHERE esn_status = 'divergente') AS b
-    FULL JOIN (SELECT ticket_id, esn, esn_status FROM v_pairs) AS n USING (ticket_id, esn)"""
+    (SELECT ticket_id, esn, 'antigo' AS esn_status FROM v_ticket_pairs WHERE esn_status = 'divergente') AS b
+    FULL JOIN (SELECT ticket_id, esn, esn_status FROM v_ticket_pairs) AS n USING (ticket_id, esn)"""
 )
 def upsert_pairs(s: Sample) -> DataFrame:
     new = s.pairs().select("ticket_id", "esn", "esn_status")
@@ -1079,7 +1100,7 @@ def visible_deals(s: Sample) -> DataFrame:
     return visibility.visible_by(deals, seen(s), "deal_id")
 
 
-@query(f"SELECT ticket_id, esn, esn_status FROM v_pairs WHERE ticket_id IN (SELECT ticket_id FROM {SEEN_SQL.format(v=VIEWER)})")
+@query(f"SELECT ticket_id, esn, esn_status FROM v_ticket_pairs WHERE ticket_id IN (SELECT ticket_id FROM {SEEN_SQL.format(v=VIEWER)})")
 def visible_pairs(s: Sample) -> DataFrame:
     return visibility.visible_by(s.pairs().select("ticket_id", "esn", "esn_status"), seen(s), "ticket_id")
 

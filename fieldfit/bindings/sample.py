@@ -104,8 +104,9 @@ class Sample:
         )
 
     def order_serials(self) -> DataFrame:
-        """Lowest and highest part and lowest supplier per order."""
+        """All parts (repeats included), lowest and highest part and lowest supplier per order."""
         return self.table("lineitem").groupBy("l_orderkey").agg(
+            F.sort_array(F.collect_list("l_partkey")).cast("array<string>").alias("parts"),
             F.min("l_partkey").alias("low_part"),
             F.max("l_partkey").alias("high_part"),
             F.min("l_suppkey").alias("owner"),
@@ -135,7 +136,7 @@ class Sample:
         )
         # A serial no delivery knows, on some tickets.
         unknown = F.concat(F.lit("X"), text("o_orderkey"))
-        second = F.when(F.col("o_orderpriority") == "2-HIGH", unknown).otherwise(text("high_part"))
+        serials = F.when(F.col("o_orderpriority") == "2-HIGH", F.array_append("parts", unknown)).otherwise(F.col("parts"))
         served = orders.join(self.order_serials(), F.expr("l_orderkey = o_orderkey"), "left").select(
             F.concat(F.lit("S"), text("o_orderkey")).alias("ticket_id"),
             company.alias("company_id"),
@@ -146,9 +147,7 @@ class Sample:
             ).alias("ticket_status"),
             F.lit(None).cast("string").alias("envio__classe"),
             F.floor(F.col("o_totalprice") / 100000).cast("bigint").alias("instalacao__qtd_dispositivos_efetivamente_agendados"),
-            F.when(
-                F.col("low_part").isNotNull(), F.array_distinct(F.array(text("low_part"), second))
-            ).alias("instalacao__esns_processados"),
+            F.when(F.col("parts").isNotNull(), serials).alias("instalacao__esns_processados"),
         )
         return sent.unionByName(served)
 
@@ -211,6 +210,7 @@ class Sample:
         )
         return weekly.select(
             "company_id",
+            F.concat(F.lit("G"), text(F.expr("bigint(company_id) div 2"))).alias("id_grupo_economico"),
             F.concat(F.lit("Empresa "), F.col("company_id")).alias("company_name"),
             "event_week",
             (F.expr("cents div n") / 100).alias("basic_value_score"),
@@ -291,8 +291,11 @@ class Sample:
             F.concat(F.lit("S"), text("o_orderkey")).alias("hs_object_id"),
             subject.alias("subject"),
             F.col("o_orderdate").alias("createdate"),
+            choose("o_orderpriority", {"3-MEDIUM": "111111"}, "263640").alias("hs_pipeline"),
             choose("o_orderstatus", {"O": "263641"}, "999999").alias("hs_pipeline_stage"),
-            F.concat(text("low_part"), F.lit(", "), text("high_part"), F.lit(" / ")).alias("ops__instalacao__esns"),
+            F.array_join(
+                F.transform("parts", lambda x, i: F.concat(x, F.element_at(F.array(*map(F.lit, (", ", " / ", "|"))), i % 3 + 1))), ""
+            ).alias("ops__instalacao__esns"),
             F.col("o_orderpriority").alias("ops__instalacao__classe"),
             F.col("owner").alias("ops_owner"),
             F.when(F.col("o_orderpriority") != "5-LOW", text("o_custkey")).alias("company_id"),

@@ -45,7 +45,7 @@ SELECT CAST(c_custkey // 2 AS VARCHAR) AS id, max(c_acctbal) / 100 AS grupo_econ
 FROM customer GROUP BY 1"""
 
 VIEWS["v_order_serials"] = """
-SELECT l_orderkey, min(l_partkey) AS low_part, max(l_partkey) AS high_part, min(l_suppkey) AS owner
+SELECT l_orderkey, list(CAST(l_partkey AS VARCHAR) ORDER BY l_partkey) AS parts, min(l_partkey) AS low_part, max(l_partkey) AS high_part, min(l_suppkey) AS owner
 FROM lineitem GROUP BY l_orderkey"""
 
 VIEWS["v_cube"] = """
@@ -64,10 +64,9 @@ UNION ALL
 SELECT 'S' || o_orderkey, CAST(o_custkey AS VARCHAR), CAST(o_orderkey AS VARCHAR), 'Serviços',
        CASE o_orderstatus WHEN 'O' THEN 'Agendar instalação' WHEN 'P' THEN 'Aguardando tecnico instalar' ELSE 'Concluído' END,
        NULL, CAST(floor(o_totalprice / 100000) AS BIGINT),
-       CASE WHEN low_part IS NULL THEN NULL
-            WHEN o_orderpriority = '2-HIGH' THEN [CAST(low_part AS VARCHAR), 'X' || o_orderkey]
-            WHEN low_part = high_part THEN [CAST(low_part AS VARCHAR)]
-            ELSE [CAST(low_part AS VARCHAR), CAST(high_part AS VARCHAR)] END
+       CASE WHEN parts IS NULL THEN NULL
+            WHEN o_orderpriority = '2-HIGH' THEN list_append(parts, 'X' || o_orderkey)
+            ELSE parts END
 FROM orders LEFT JOIN v_order_serials ON l_orderkey = o_orderkey"""
 
 VIEWS["v_deliveries"] = """
@@ -90,7 +89,7 @@ SELECT 'OS' || l_orderkey || '-' || l_linenumber AS ordem_de_servico, CAST(l_shi
 FROM lineitem WHERE l_returnflag = 'A'"""
 
 VIEWS["v_scores"] = """
-SELECT company_id, 'Empresa ' || company_id AS company_name, event_week,
+SELECT company_id, 'G' || (CAST(company_id AS BIGINT) // 2) AS id_grupo_economico, 'Empresa ' || company_id AS company_name, event_week,
        (cents // n) / 100 AS basic_value_score,
        CAST(least(4, cents // (n * 1500)) AS BIGINT) AS instalation_completeness_grade, cents / 100 AS mrr
 FROM (SELECT CAST(user_id AS VARCHAR) AS company_id, CAST(date_trunc('week', ts) AS DATE) AS event_week,
@@ -152,8 +151,9 @@ SELECT 'S' || o_orderkey AS hs_object_id,
             THEN '[SUPPLY | novo] Instalação Cliente ' || o_custkey || ' Deal ID: ' || o_orderkey
             ELSE 'Ticket ' || o_orderkey END AS subject,
        o_custkey, o_orderkey, o_orderpriority, o_totalprice, o_orderdate AS createdate,
+       CASE o_orderpriority WHEN '3-MEDIUM' THEN '111111' ELSE '263640' END AS hs_pipeline,
        CASE o_orderstatus WHEN 'O' THEN '263641' ELSE '999999' END AS hs_pipeline_stage,
-       CAST(low_part AS VARCHAR) AS low_part, CAST(high_part AS VARCHAR) AS high_part, owner AS ops_owner,
+       parts, CAST(low_part AS VARCHAR) AS low_part, CAST(high_part AS VARCHAR) AS high_part, owner AS ops_owner,
        CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_custkey AS VARCHAR) END AS company_id,
        CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN CAST(o_orderkey AS VARCHAR) END AS deal_id
 FROM orders LEFT JOIN v_order_serials ON l_orderkey = o_orderkey"""
@@ -163,15 +163,15 @@ SELECT c.hs_object_id AS ticket_id, c.subject AS subject_raw,
        CASE WHEN n.company_name IS NOT NULL THEN n.company_name
             WHEN o_orderpriority = '1-URGENT' THEN 'Cliente ' || o_custkey ELSE c.subject END AS display_name,
        c.hs_pipeline_stage AS pipeline_stage_id,
-       CASE WHEN hs_pipeline_stage = '263641' THEN 'Agendar Instalação' END AS pipeline_stage_label,
+       CASE WHEN hs_pipeline = '263640' AND hs_pipeline_stage = '263641' THEN 'Agendar Instalação' END AS pipeline_stage_label,
        o_orderpriority AS classe_instalacao, ops_owner AS owner_hubspot_id, s_name AS owner_name, c.company_id, c.deal_id,
-       c.createdate, CAST(CASE WHEN low_part IS NULL THEN 0 ELSE 2 END AS BIGINT) AS esn_count,
-       CASE WHEN low_part IS NULL THEN '' ELSE low_part || ',' || high_part END AS esn_list,
-       hs_pipeline_stage = '263641' AS in_agendar_instalacao
+       c.createdate, CAST(coalesce(len(parts), 0) AS BIGINT) AS esn_count,
+       coalesce(array_to_string(parts, ','), '') AS esn_list,
+       hs_pipeline = '263640' AND hs_pipeline_stage = '263641' AS in_agendar_instalacao
 FROM v_crm AS c
 LEFT JOIN v_names AS n ON n.company_id = c.company_id
 LEFT JOIN supplier ON s_suppkey = ops_owner
-WHERE hs_pipeline_stage = '263641'
+WHERE (hs_pipeline = '263640' AND hs_pipeline_stage = '263641')
    OR EXISTS (SELECT 1 FROM v_field AS f WHERE f.ticket_id = c.hs_object_id AND f.status = 'CONCLUÍDA')"""
 
 VIEWS["v_newest"] = """
@@ -326,19 +326,21 @@ FROM v_graded
 QUALIFY row_number() OVER (PARTITION BY deal_id
   ORDER BY dias_restantes_prazo DESC, company_id, qtd_completude, qtd_instalada, time_segmento) = 1"""
 
+VIEWS["v_ticket_pairs"] = "SELECT DISTINCT * FROM v_pairs"
+
 VIEWS["v_esn_ticket"] = """
 SELECT ticket_id, count(*) FILTER (esn_status = 'divergente') AS esn_divergente_count,
        count(*) FILTER (esn_status = 'sem_match') AS esn_sem_match_count,
        string_agg(DISTINCT modelo_item, ',' ORDER BY modelo_item) AS esn_modelos_raw,
        string_agg(esn || ':' || coalesce(modelo_item, '') || ':' || esn_status || ':' || coalesce(dono_ticket_id, '')
                   || ':' || coalesce(dono_company_id, ''), ';' ORDER BY esn) AS esn_detalhe
-FROM v_pairs GROUP BY ticket_id"""
+FROM v_ticket_pairs GROUP BY ticket_id"""
 
 VIEWS["v_dash"] = """
 SELECT t.ticket_id, t.display_name, t.subject_raw, t.pipeline_stage_label, t.in_agendar_instalacao, t.classe_instalacao,
        t.owner_name, t.owner_hubspot_id, m.squad AS owner_squad, CAST(t.createdate AS DATE) AS createdate,
        CAST(DATE '2001-08-01' - CAST(t.createdate AS DATE) AS DOUBLE) AS dias_aberto,
-       t.esn_count, t.company_id, t.deal_id, s.company_name,
+       t.esn_count, t.company_id, t.deal_id, s.id_grupo_economico, s.company_name,
        s.basic_value_score, s.instalation_completeness_grade, s.mrr,
        CASE WHEN d.nota_instalacao < 3 THEN 'em_risco' ELSE 'ok' END AS mrr_status,
        f.status AS field_status, f.prestador, f.consultor, f.data_agendada,

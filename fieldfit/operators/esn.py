@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldfit.config import SERVICE_PIPELINE, TO_SCHEDULE_STATUS
-from fieldfit.operators.relational import explode_items, has_items, in_scope, latest_per_key, sparse_left_join
+from fieldfit.operators.relational import beside, explode_items, has_items, in_scope, latest_per_key, sparse_left_join
 
 OK, DIVERGENT, UNMATCHED = "ok", "divergente", "sem_match"
 
@@ -23,12 +23,17 @@ def expected_serials(tickets: DataFrame) -> DataFrame:
 
 
 def newest_delivery(deliveries: DataFrame) -> DataFrame:
-    """Newest delivery per serial: its ticket is the current owner."""
+    """Newest delivery per serial: its ticket is the current owner.
+
+    Ranked beside the serial, so that a join on the serial can be split where
+    many tickets expect the same one.
+    """
     known = deliveries.filter(F.col("esn").isNotNull()).select(
         "esn", F.col("ticket_id_crm").alias("dono_ticket_id"), "modelo_item", "item_name", "created_at"
     )
     ties = [F.desc("dono_ticket_id"), F.desc("modelo_item"), F.desc("item_name")]
-    return latest_per_key(known, ["esn"], [F.desc("created_at")], ties).drop("created_at")
+    known = known.withColumn("_beside", beside("esn"))
+    return latest_per_key(known, ["esn", "_beside"], [F.desc("created_at")], ties).drop("created_at", "_beside")
 
 
 def ticket_company(tickets: DataFrame) -> DataFrame:
@@ -48,10 +53,11 @@ def current_owner(deliveries: DataFrame, tickets: DataFrame) -> DataFrame:
 def esn_validation(tickets: DataFrame, deliveries: DataFrame, unique: bool = False) -> DataFrame:
     """Expected against current owner: ok, divergente or sem_match per pair.
 
-    The newest delivery is joined first, on the partitioning its own ranking
-    left behind; companies are then resolved for expected serials only, not
-    for the whole delivery history. ``unique`` removes repeated (ticket,
-    serial) pairs, as a keyed snapshot needs.
+    The newest delivery is joined first; companies are then resolved for
+    expected serials only, not for the whole delivery history. ``unique`` gives
+    one row per (ticket, serial), as a keyed snapshot needs: repeated serials
+    count once, and of several companies of an owner ticket the expected one or
+    else the smallest is taken.
     """
     expected = expected_serials(tickets)
     if unique:
@@ -64,6 +70,9 @@ def esn_validation(tickets: DataFrame, deliveries: DataFrame, unique: bool = Fal
         .when(F.col("dono_company_id") == F.col("company_id"), OK)
         .otherwise(DIVERGENT)
     )
+    if unique:
+        fits = F.coalesce(F.col("dono_company_id") == F.col("company_id"), F.lit(False))
+        owned = latest_per_key(owned, ["ticket_id", "esn"], [fits.desc(), F.asc("dono_company_id")], [F.asc("company_id")])
     return owned.select(
         "ticket_id",
         F.col("company_id").alias("company_id_esperado"),

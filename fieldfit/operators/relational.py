@@ -8,10 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldfit.session import checkpointed
-
-SPREAD_TASKS = 64
-
 
 # --- projection -----------------------------------------------------------
 
@@ -92,35 +88,47 @@ def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys).distinct()
 
 
+def beside(*keys: str) -> Column:
+    """Always 0, but computed from the keys.
+
+    A side grouped or ranked by the keys and this column has a partitioning that
+    a join on the keys alone cannot take over. Spark then shuffles both inputs of
+    the join for it, and only such joins can be split at a hot key.
+    """
+    return F.pmod(F.xxhash64(*keys), F.lit(1))
+
+
+def key_set(df: DataFrame, key: str) -> DataFrame:
+    """Distinct keys as the small side of a join that may have to be split."""
+    return df.groupBy(key, beside(key).alias("_beside")).agg(F.lit(0).alias("_none")).select(key)
+
+
 def keep_in(df: DataFrame, keys_df: DataFrame, key: str) -> DataFrame:
     """Semi join; the key side is reduced to distinct keys before its shuffle."""
-    return df.join(distinct_keys(keys_df, key), key, "left_semi")
+    return df.join(key_set(keys_df, key), key, "left_semi")
 
 
 def drop_in(df: DataFrame, keys_df: DataFrame, key: str) -> DataFrame:
     """Anti join that drops true matches only; NULL keys stay."""
-    return df.join(distinct_keys(keys_df, key), key, "left_anti")
+    return df.join(key_set(keys_df, key), key, "left_anti")
 
 
 def not_in(df: DataFrame, sub: DataFrame, key: str) -> DataFrame:
     """SQL ``NOT IN (subquery)`` as a shuffled join.
 
     One NULL in the subquery empties the result, a NULL probe is dropped, and
-    an empty subquery keeps every row. Which case holds must be known first,
-    and the null-aware join of the SQL form always broadcasts; so the distinct
-    keys are stored once (checkpoint) and serve both the check and the join.
+    an empty subquery keeps every row. The null-aware join of the SQL form always
+    broadcasts; here the two facts are one scalar subquery, which runs with the
+    query and not while it is built.
 
     A marked left join stays where it is written and shares its neighbours'
     partitioning; an anti join would be pushed down to a shuffle of its own.
     """
-    keys = checkpointed(distinct_keys(sub, key))
-    facts = keys.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("nulls")).first()
-    if facts["n"] == 0:
-        return df
-    if facts["nulls"]:
-        return df.filter(F.lit(False))
-    marked = keys.withColumn("_hit", F.lit(True))
-    return df.filter(F.col(key).isNotNull()).join(marked, key, "left").filter("_hit is null").drop("_hit")
+    facts = sub.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("nulls")).alias("f")).scalar()
+    marked = key_set(sub.filter(F.col(key).isNotNull()), key).withColumn("_hit", F.lit(True))
+    joined = sparse_left_join(df, marked, key, [c for c in df.columns if c != key] or [key])
+    outside = F.col("_hit").isNull() & F.col(key).isNotNull() & (facts["nulls"] == 0)
+    return joined.filter((facts["n"] == 0) | outside).drop("_hit").select(*df.columns)
 
 
 # --- joins ----------------------------------------------------------------
@@ -129,16 +137,12 @@ def sparse_left_join(left: DataFrame, right: DataFrame, key: str, spread_by: lis
     """Left equi-join for a probe key that is often NULL.
 
     NULL keys match nothing, yet a hash partitioning would send them all to
-    one task; a second key, fixed for real keys, spreads them.
+    one task; a second key, fixed for real keys, spreads them over all tasks.
     """
-    spread = F.when(
-        F.col(key).isNull(), F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD_TASKS))
-    ).otherwise(F.lit(0).cast("bigint"))
-    # Always 0, but an expression of the key so that it stays a join key.
-    fixed = F.pmod(F.xxhash64(key), F.lit(1))
+    spread = F.when(F.col(key).isNull(), F.xxhash64(*spread_by)).otherwise(F.lit(0).cast("bigint"))
     return (
         left.withColumn("_spread", spread)
-        .join(right.filter(F.col(key).isNotNull()).withColumn("_spread", fixed), [key, "_spread"], "left")
+        .join(right.filter(F.col(key).isNotNull()).withColumn("_spread", beside(key)), [key, "_spread"], "left")
         .drop("_spread")
     )
 
@@ -153,8 +157,19 @@ def explode_items(df: DataFrame, arr: str, name: str) -> DataFrame:
 def wide_to_long(
     df: DataFrame, id_cols: list[str], value_cols: list[str], name: str = "property", value: str = "quantity"
 ) -> DataFrame:
-    """Wide quantity columns to (name, value) rows; zero and NULL are dropped."""
-    whole = df.select(*id_cols, *[F.col(c).try_cast("double").try_cast("bigint").alias(c) for c in value_cols])
+    """Wide quantity columns to (name, value) rows; zero, NULL and blank text are dropped.
+
+    A quantity that is no whole number stops the query instead of being rounded
+    or lost.
+    """
+
+    def quantity(c: str) -> Column:
+        number = F.nullif(F.trim(F.col(c).cast("string")), F.lit("")).cast("double")
+        return F.when(number == F.floor(number), number.cast("bigint")).otherwise(
+            F.when(number.isNotNull(), F.raise_error(F.format_string(f"{c} is no whole number: %s", F.col(c).cast("string"))).cast("bigint"))
+        )
+
+    whole = df.select(*id_cols, *[quantity(c).alias(c) for c in value_cols])
     return whole.unpivot(id_cols, value_cols, name, value).filter(F.coalesce(F.col(value), F.lit(0)) != 0)
 
 

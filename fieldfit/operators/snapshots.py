@@ -11,40 +11,59 @@ from pyspark.sql import functions as F
 from fieldfit.config import MIN_PAYLOAD_ROWS
 from fieldfit.operators.relational import distinct_keys, drop_in, latest_per_key
 
-ARRIVAL = ("arrival_file", "arrival_pos")
+ORDER = ("arrival_file", "arrival_pos")
+CARRIED = "arrival_keys"
+ARRIVAL = (*ORDER, CARRIED)
 
 
 def last_arrivals(updates: DataFrame, keys: list[str], order=None) -> DataFrame:
     """The last row per key of a payload, by arrival order if it carries one."""
-    arrival = [c for c in (order or ARRIVAL) if c in updates.columns]
+    arrival = [c for c in (order or ORDER) if c in updates.columns]
     ranked = [F.desc(c) for c in arrival]
-    others = [F.desc(c) for c in updates.columns if c not in {*keys, *arrival}]
+    others = [F.desc(c) for c in updates.columns if c not in {*keys, *arrival, CARRIED}]
     last = latest_per_key(updates, keys, ranked or others, others if ranked else [])
-    return last.drop(*arrival)
+    return last.drop(*arrival, CARRIED)
+
+
+def last_carried(updates: DataFrame, keys: list[str], order=None) -> DataFrame:
+    """Per key and column, the value of the last row that carried the column.
+
+    A value is a one-field struct: NULL where no row carried the column, a struct
+    of NULL where one carried it as NULL. Without ``arrival_keys`` every row
+    carries every column.
+    """
+    values = [c for c in updates.columns if c not in {*keys, *(order or ()), *ARRIVAL}]
+    boxed = {c: F.struct(F.col(c).alias("value")) for c in values}
+    if CARRIED not in updates.columns:
+        return last_arrivals(updates, keys, order).withColumns(boxed)
+    arrival = F.struct(*[c for c in (order or ORDER) if c in updates.columns])
+    last = [F.max_by(boxed[c], F.when(F.array_contains(CARRIED, c), arrival)).alias(c) for c in values]
+    return updates.groupBy(*keys).agg(*last) if last else distinct_keys(updates, *keys)
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys: list[str], order=None) -> DataFrame:
     """Insert new keys, update the payload's columns of known keys.
 
     A matched row takes the payload's value even where that is NULL; columns
-    the payload does not have keep the base value. Both sides are unique per
-    key when they meet, so no key can be hot.
+    its payload rows do not carry keep the base value. A payload column that the
+    base lacks is added to it. Both sides are unique per key when they meet, so
+    no key can be hot.
     """
-    new = last_arrivals(updates, keys, order).withColumn("_hit", F.lit(True))
+    new = last_carried(updates, keys, order)
     b, u = base.alias("b"), new.alias("u")
     matched = reduce(lambda x, y: x & y, [F.col(f"b.{k}") == F.col(f"u.{k}") for k in keys])
     merged = b.join(u, matched, "full_outer")
-    hit = F.coalesce(F.col("u._hit"), F.lit(False))
     out = []
     for c in base.columns:
         if c in keys:
             out.append(F.coalesce(F.col(f"u.{c}"), F.col(f"b.{c}")).alias(c))
         elif c in new.columns:
-            cast = F.col(f"u.{c}").cast(base.schema[c].dataType)
-            out.append(F.when(hit, cast).otherwise(F.col(f"b.{c}")).alias(c))
+            cast = F.col(f"u.{c}.value").cast(base.schema[c].dataType)
+            out.append(F.when(F.col(f"u.{c}").isNotNull(), cast).otherwise(F.col(f"b.{c}")).alias(c))
         else:
             out.append(F.col(f"b.{c}").alias(c))
-    return merged.select(*out)
+    added = [F.col(f"u.{c}.value").alias(c) for c in new.columns if c not in base.columns]
+    return merged.select(*out, *added)
 
 
 def remove_stale(base: DataFrame, current: DataFrame, key: str, min_rows: int = MIN_PAYLOAD_ROWS) -> DataFrame:
@@ -84,7 +103,7 @@ def patch(
     base: DataFrame, updates: DataFrame, key: str, cols: list[str], skip: str = "null", order=None
 ) -> DataFrame:
     """Update matched rows only; never insert."""
-    arrival = [c for c in (order or ARRIVAL) if c in updates.columns]
+    arrival = [c for c in (order or ORDER) if c in updates.columns]
     usable = _usable(updates, key, cols, skip).select(key, *cols, *arrival)
     new = last_arrivals(usable, [key], order).withColumnsRenamed({c: f"_new_{c}" for c in cols})
     joined = base.join(new, key, "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldfit.config import CRM_STAGE_ID, CRM_STAGE_LABEL, QUANTITY_EXCLUDED, QUANTITY_PREFIX
+from fieldfit.config import CRM_PIPELINE_ID, CRM_STAGE_ID, CRM_STAGE_LABEL, QUANTITY_EXCLUDED, QUANTITY_PREFIX
 from fieldfit.functions import display_name, split_list, split_suffix
 from fieldfit.operators.relational import (
     distinct_keys,
@@ -45,11 +45,17 @@ def field_main(field: DataFrame, main: str = "unsuffixed") -> DataFrame:
 
 
 def ticket_scope(
-    raw: DataFrame, field: DataFrame, stage: str = CRM_STAGE_ID, stage_col: str = "hs_pipeline_stage", key: str = "ticket_id"
+    raw: DataFrame,
+    field: DataFrame,
+    pipeline: str = CRM_PIPELINE_ID,
+    stage: str = CRM_STAGE_ID,
+    pipeline_col: str = "hs_pipeline",
+    stage_col: str = "hs_pipeline_stage",
+    key: str = "ticket_id",
 ) -> DataFrame:
-    """Tickets in the stage, plus those that left it but have a field record."""
+    """Tickets in the pipeline's stage, plus those that left it but have a field record."""
     visited = distinct_keys(field, key).withColumn("_visited", F.lit(True))
-    in_stage = F.coalesce(F.col(stage_col) == stage, F.lit(False))
+    in_stage = F.coalesce((F.col(pipeline_col) == pipeline) & (F.col(stage_col) == stage), F.lit(False))
     return (
         raw.join(visited, key, "left")
         .withColumn("in_agendar_instalacao", in_stage)

@@ -32,7 +32,7 @@ from fieldfit.operators.contracts import (
     dedupe_deals,
     downgraded_deals,
 )
-from fieldfit.operators.relational import not_in
+from fieldfit.operators.relational import beside, not_in
 from fieldfit.operators.shipments import (
     dedupe_shipments,
     device_service,
@@ -167,14 +167,15 @@ def company_totals(metrics: DataFrame) -> DataFrame:
     """Per company: sums over its eligible deal rows, and any deal in time.
 
     Aggregated instead of a window, so that a company holding a large share of
-    the deals is reduced in every task before the shuffle.
+    the deals is reduced in every task before the shuffle, and beside the
+    company, so that a join on it can be split.
     """
     fits = F.col("elegivel")
-    return metrics.groupBy("company_id").agg(
+    return metrics.groupBy("company_id", beside("company_id").alias("_beside")).agg(
         F.sum(F.when(fits, F.col("qtd_completude")).otherwise(0)).alias("qtd_completude_empresa"),
         F.sum(F.when(fits, F.col("qtd_instalada")).otherwise(0)).alias("qtd_instalada_empresa"),
         F.max(F.coalesce(fits & F.col("dentro_do_prazo"), F.lit(False))).alias("dentro_do_prazo"),
-    )
+    ).drop("_beside")
 
 
 def completeness_by_company(metrics: DataFrame, rules: CompletenessRules = DEFAULT_RULES) -> DataFrame:

@@ -32,7 +32,7 @@ COMPLETENESS_COLUMNS = {
     "dias_restantes_prazo": "completude_dias_restantes_prazo",
 }
 SEARCH_COLUMNS = ("display_name", "company_name", "ticket_id", "company_id", "id_grupo_economico")
-SCORE_COLUMNS = ("company_name", "basic_value_score", "instalation_completeness_grade", "mrr")
+SCORE_COLUMNS = ("id_grupo_economico", "company_name", "basic_value_score", "instalation_completeness_grade", "mrr")
 
 
 def latest_note(checks: DataFrame) -> DataFrame:
@@ -133,8 +133,8 @@ def dashboard_filter(
 
 
 def search_dashboard(dash: DataFrame, term: str) -> DataFrame:
-    """Text search over customer, company, ticket and, if present, group."""
-    return search(dash, term, [c for c in SEARCH_COLUMNS if c in dash.columns])
+    """Text search over customer, company, ticket and economic group."""
+    return search(dash, term, SEARCH_COLUMNS)
 
 
 def sort_dashboard(dash: DataFrame, by: str, descending: bool = True) -> DataFrame:

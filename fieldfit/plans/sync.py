@@ -6,9 +6,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldfit.operators.snapshots import ARRIVAL, patch, remove_stale, replace_by_key, stamp, upsert
+from fieldfit.operators.snapshots import patch, remove_stale, replace_by_key, stamp, upsert
 from fieldfit.schemas import PAYLOAD, SNAPSHOTS
-from fieldfit.sources import SnapshotStore, load_payload, payload_columns
+from fieldfit.session import checkpointed
+from fieldfit.sources import SnapshotStore, load_payload
 
 # Payload key -> (snapshot table, key columns) of the plain upserts.
 UPSERTS = {
@@ -25,13 +26,6 @@ def snapshot(spark: SparkSession, store: SnapshotStore, table: str) -> DataFrame
     return spark.createDataFrame([], SNAPSHOTS[table]) if current is None else current
 
 
-def carried(spark: SparkSession, bundle: str, folder: str, key: str) -> DataFrame:
-    """Payload rows of one table, reduced to the columns the payload carries."""
-    rows = load_payload(spark, bundle, folder, key, PAYLOAD[key])
-    found = payload_columns(spark, bundle, folder, key)
-    return rows.select(*[c for c in rows.columns if c in found or c in ARRIVAL]) if found else rows
-
-
 def merged_tickets(base: DataFrame, tickets: DataFrame, deal_ids: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Tickets upserted, those gone from a full payload removed, deals filled in."""
     merged = stamp(upsert(base, tickets, ["ticket_id"]), as_of)
@@ -44,9 +38,11 @@ def apply_payload(
 ) -> dict[str, int]:
     """Merge bundle and chunk files into the store; published version per table.
 
-    A table without payload rows is left as it is.
+    Every file is parsed once, into the shared folder, before anything is
+    published: a damaged one stops the run with the store untouched. A table
+    without payload rows is left as it is.
     """
-    payload = {key: carried(spark, bundle, folder, key) for key in PAYLOAD}
+    payload = {key: checkpointed(load_payload(spark, bundle, folder, key, PAYLOAD[key])) for key in PAYLOAD}
     filled = {key for key, rows in payload.items() if not rows.isEmpty()}
     versions = {}
 

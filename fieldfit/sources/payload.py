@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 # Sort order of the payload parts: every bundle before every chunk file.
 BUNDLE, CHUNK = "0:", "1:"
+STRICT = {"mode": "FAILFAST"}
 
 
 def _arrival(part: str):
@@ -17,7 +18,10 @@ def _arrival(part: str):
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema).select(
-        "*", F.lit("").alias("arrival_file"), F.lit(0).cast("bigint").alias("arrival_pos")
+        "*",
+        F.lit("").alias("arrival_file"),
+        F.lit(0).cast("bigint").alias("arrival_pos"),
+        F.lit(None).cast("array<string>").alias("arrival_keys"),
     )
 
 
@@ -25,38 +29,47 @@ def _missing(error: AnalysisException) -> bool:
     return (error.getCondition() or "").startswith("PATH_NOT_FOUND")
 
 
+def _parsed(files: DataFrame, items, schema: T.StructType) -> DataFrame:
+    """Rows of JSON objects: typed columns, file, position in it, and the keys each object carries.
+
+    A damaged file or a value of another type stops the job; nothing may be taken
+    for missing that could not be read.
+    """
+    each = files.select("arrival_file", F.posexplode(items).alias("pos", "item")).filter("item is not null")
+    return each.select(
+        F.from_json("item", schema, STRICT).alias("row"),
+        "arrival_file",
+        F.col("pos").cast("bigint").alias("arrival_pos"),
+        F.json_object_keys("item").alias("arrival_keys"),
+    ).select("row.*", "arrival_file", "arrival_pos", "arrival_keys")
+
+
 def load_bundle(spark: SparkSession, path: str, table: str, schema: T.StructType) -> DataFrame:
     """One table of bundle objects ``{table: [rows]}``; missing key or file = empty.
 
     Only the wanted key is parsed. A bundle is one JSON document and therefore
     read by one task; large payloads come as chunk files or several bundles.
     """
-    outer = T.StructType([T.StructField(table, T.ArrayType(schema))])
+    outer = T.StructType([T.StructField(table, T.ArrayType(T.StringType()))])
     try:
-        bundle = spark.read.schema(outer).json(path, multiLine=True).select(table, _arrival(BUNDLE))
+        bundle = spark.read.text(path, wholetext=True).select("value", _arrival(BUNDLE))
     except AnalysisException as error:
         if _missing(error):
             return _empty(spark, schema)
         raise
-    rows = bundle.select("arrival_file", F.posexplode(table).alias("pos", "row"))
-    return rows.select("row.*", "arrival_file", F.col("pos").cast("bigint").alias("arrival_pos"))
+    return _parsed(bundle, F.from_json("value", outer, STRICT).getField(table), schema)
 
 
 def read_chunk_files(reader, folder: str, table: str, schema: T.StructType) -> DataFrame:
     """Rows of all ``<table>-*.json`` array files (batch or stream reader)."""
-    rows = reader.schema(schema).json(f"{folder}/{table}-*.json", multiLine=True)
-    return rows.select("*", _arrival(CHUNK))
-
-
-def with_position(chunks: DataFrame) -> DataFrame:
-    """Position of a row in its file: one task reads an array file in order."""
-    return chunks.withColumn("arrival_pos", F.monotonically_increasing_id())
+    files = reader.text(f"{folder}/{table}-*.json", wholetext=True).select("value", _arrival(CHUNK))
+    return _parsed(files, F.from_json("value", T.ArrayType(T.StringType()), STRICT), schema)
 
 
 def load_chunks(spark: SparkSession, folder: str, table: str, schema: T.StructType) -> DataFrame:
     """All ``<table>-*.json`` array files of a folder, with arrival order."""
     try:
-        return with_position(read_chunk_files(spark.read, folder, table, schema))
+        return read_chunk_files(spark.read, folder, table, schema)
     except AnalysisException as error:
         if _missing(error):
             return _empty(spark, schema)
@@ -64,31 +77,10 @@ def load_chunks(spark: SparkSession, folder: str, table: str, schema: T.StructTy
 
 
 def load_payload(spark: SparkSession, bundle: str, folder: str, table: str, schema: T.StructType) -> DataFrame:
-    """Bundle rows, then chunk rows in file order."""
-    first = load_bundle(spark, bundle, table, schema)
-    return first.unionByName(load_chunks(spark, folder, table, schema), allowMissingColumns=True)
-
+    """Bundle rows, then chunk rows in file order.
 
-def payload_columns(spark: SparkSession, bundle: str, folder: str, table: str) -> set[str]:
-    """Columns a payload carries, seen on the first file of each part.
-
-    All rows of a payload have the same keys, so one file tells; a column the
-    payload does not carry must not overwrite stored values.
+    ``arrival_keys`` says per row which columns its object carried, so that a
+    column one file lacks does not speak for another file's rows.
     """
-    found: set[str] = set()
-    for path in (bundle, f"{folder}/{table}-*.json"):
-        try:
-            first = spark.read.format("binaryFile").load(path).agg(F.min("path")).first()[0]
-        except AnalysisException as error:
-            if _missing(error):
-                continue
-            raise
-        if first is None:
-            continue
-        schema = spark.read.json(first, multiLine=True).schema
-        if path == bundle:
-            rows = schema[table].dataType if table in schema.names else None
-            schema = rows.elementType if isinstance(rows, T.ArrayType) else None
-        if isinstance(schema, T.StructType):
-            found |= set(schema.names)
-    return found
+    first = load_bundle(spark, bundle, table, schema)
+    return first.unionByName(load_chunks(spark, folder, table, schema))

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldfit.operators.snapshots import upsert
+from fieldfit.operators.snapshots import ARRIVAL, upsert
 
 COMMIT_SCHEMA = "version bigint, source string"
 
@@ -55,7 +55,7 @@ class SnapshotStore:
         """Upsert into the current version (or into an empty table)."""
         base = self.current(table)
         if base is None:
-            columns = [c for c in updates.columns if c not in ("arrival_file", "arrival_pos")]
+            columns = [c for c in updates.columns if c not in ARRIVAL]
             base = updates.select(*columns).limit(0)
         return self.publish(upsert(base, updates, keys), table, source)
 

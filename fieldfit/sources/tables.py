@@ -23,7 +23,9 @@ def load_table(
 def write_chunks(
     df: DataFrame, path: str, keys: list[str], rows_per_file: int = 100, wrap: str | None = None
 ) -> None:
-    """Files holding one JSON array each, of a fixed row count, ordered by key.
+    """Files holding one JSON array each, ordered by key as their names are.
+
+    Every file has ``rows_per_file`` rows but the last one of each key range.
 
     Rows are range-partitioned and sorted by key and then by all other columns,
     so equal keys may be split and a repeated task gives the same files. A
@@ -40,5 +42,7 @@ def write_chunks(
     ).withColumn("chunk", F.expr(f"item.pos div {int(rows_per_file)}"))
     chunks = placed.groupBy("part", "chunk").agg(F.sort_array(F.collect_list("item")).getField("row").alias("rows"))
     body = F.col("rows") if wrap is None else F.struct(F.col("rows").alias(wrap))
+    chunks = chunks.repartitionByRange("part", "chunk").sortWithinPartitions("part", "chunk")
     text = chunks.select(F.to_json(body, {"ignoreNullFields": "false"}))
+    # One range of (part, chunk) per file run: the order of the names is that of the keys.
     text.write.option("maxRecordsPerFile", 1).text(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from fieldfit.sources.payload import read_chunk_files, with_position
+from fieldfit.sources.payload import read_chunk_files
 from fieldfit.sources.store import SnapshotStore
 
 
@@ -30,7 +30,7 @@ def stream_upsert(
     def apply(batch, batch_id: int) -> None:
         source = f"stream-{batch_id}"
         if not store.committed(table, source):
-            store.merge(with_position(batch), table, keys, source)
+            store.merge(batch, table, keys, source)
 
     return (
         rows.writeStream.foreachBatch(apply)

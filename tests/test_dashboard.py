@@ -26,9 +26,9 @@ def board(frame):
     ]
     members = frame("hubspot_owner_id bigint, squad string", (1, "smb"), (None, "icp"))
     scores = frame(
-        "company_id string, company_name string, basic_value_score double, instalation_completeness_grade int, mrr double, event_week date",
-        ("c1", "Um", 1.5, 2, 10.0, dt.date(2024, 5, 6)),
-        ("c1", "Um", 1.0, 1, 9.0, dt.date(2024, 4, 29)),
+        "company_id string, id_grupo_economico string, company_name string, basic_value_score double, instalation_completeness_grade int, mrr double, event_week date",
+        ("c1", "g", "Um", 1.5, 2, 10.0, dt.date(2024, 5, 6)),
+        ("c1", "g", "Um", 1.0, 1, 9.0, dt.date(2024, 4, 29)),
     )
     field = frame(
         "ordem_servico_raw string, ticket_id string, suffix_num int, status string, prestador string, consultor string, data_agendada date",
@@ -59,7 +59,7 @@ def board(frame):
 
 
 def test_dashboard_rows(board):
-    assert len(board.columns) == 41
+    assert len(board.columns) == 42
     got = {r.ticket_id: r for r in board.collect()}
     assert len(got) == 3
     one, two, three = got["t1"], got["t2"], got["t3"]
@@ -185,12 +185,12 @@ def test_visibility(team, frame, rows):
 
 def test_ticket_table(frame, rows):
     raw = frame(
-        "hs_object_id string, subject string, createdate timestamp, hs_pipeline_stage string, ops__instalacao__esns string, "
+        "hs_object_id string, subject string, createdate timestamp, hs_pipeline string, hs_pipeline_stage string, ops__instalacao__esns string, "
         "ops__instalacao__classe string, ops_owner bigint, company_id string, deal_id string",
-        ("1", "[SUPPLY | x] Instalação ACME Deal ID: 5", TS, "263641", "9,8", "Piloto", 7, None, "5"),
-        ("2", "s", TS, "1", None, None, None, "c", None),
-        ("3", "s", TS, "1", None, None, None, "c", None),
-        ("4", "s", TS, None, None, None, 8, "c", None),
+        ("1", "[SUPPLY | x] Instalação ACME Deal ID: 5", TS, "263640", "263641", "9,8", "Piloto", 7, None, "5"),
+        ("2", "s", TS, "263640", "1", None, None, None, "c", None),
+        ("3", "s", TS, "9", "263641", None, None, None, "c", None),
+        ("4", "s", TS, None, None, None, None, 8, "c", None),
     )
     field = tickets.field_status(
         frame(

@@ -2,6 +2,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from fieldfit.operators import relational as r
 
 
@@ -74,12 +76,15 @@ def test_wide_to_long_drops_zero_null_and_excluded(frame, rows):
         "id string, quantidade_instalacao_a string, quantidade_instalacao_b string, quantidade_instalacao_calculado_c string",
         ("t1", "2", "0", "9"),
         ("t2", None, "3", "9"),
-        ("t3", "", "x", "9"),
+        ("t3", "", " ", "9"),
     )
     cols = r.pick_columns(df, "quantidade_instalacao_", "calculado")
     assert cols == ["quantidade_instalacao_a", "quantidade_instalacao_b"]
     out = r.wide_to_long(df, ["id"], cols)
     assert rows(out) == [("t1", "quantidade_instalacao_a", 2), ("t2", "quantidade_instalacao_b", 3)]
+    for wrong in ("x", "0.5"):
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT|no whole number"):
+            r.wide_to_long(frame("id string, quantidade_a string", ("t", wrong)), ["id"], ["quantidade_a"]).collect()
 
 
 def test_explode_items_and_guard(frame, rows):

@@ -1,9 +1,11 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldfit.operators.snapshots import last_arrivals
+from fieldfit.operators.snapshots import last_arrivals, upsert
 from fieldfit.sources import SnapshotStore, load_bundle, load_chunks, load_payload, load_table, write_chunks
 from fieldfit.streaming import stream_upsert
 
@@ -98,3 +100,31 @@ def test_stream_skips_a_batch_that_was_already_committed(spark, tmp_path, frame,
     dump(tmp_path / "in" / "t-00.json", [{"k": "a", "v": 9}])
     run_stream(spark, tmp_path, store)
     assert rows(store.current("t")) == [("a", 1)]
+
+
+def test_every_object_speaks_for_itself(spark, tmp_path, frame, rows):
+    base = frame("k string, v bigint, w string", ("a", 1, "x"), ("b", 2, "y"), ("c", 3, "z"))
+    schema = T.StructType([*SCHEMA.fields, T.StructField("w", T.StringType())])
+    dump(tmp_path / "latest.json", {"t": [{"k": "a", "w": "bundle"}]})
+    dump(tmp_path / "t-00.json", [])
+    dump(tmp_path / "t-01.json", [{"k": "a", "v": 10}, {"k": "b", "w": None}, {"k": "n"}])
+    dump(tmp_path / "t-02.json", [{"k": "b", "v": None}])
+    payload = load_payload(spark, str(tmp_path / "latest.json"), str(tmp_path), "t", schema)
+    merged = upsert(base, payload, ["k"])
+    assert rows(merged, "k", "v", "w") == [("a", 10, "bundle"), ("b", None, None), ("c", 3, "z"), ("n", None, None)]
+
+
+def test_new_payload_columns_are_added(frame, rows):
+    merged = upsert(frame("k string", ("a",), ("b",)), frame("k string, extra int", ("a", 5)), ["k"])
+    assert rows(merged, "k", "extra") == [("a", 5), ("b", None)]
+
+
+@pytest.mark.parametrize("text", ['[{"k": "a", "v": 1}, {"k": "b", "v"', '[{"k": "a", "v": "word"}]', "{"])
+def test_damaged_files_stop_the_job(spark, tmp_path, text):
+    dump(tmp_path / "t-00.json", [{"k": "a", "v": 1}])
+    (tmp_path / "t-01.json").write_text(text)
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST"):
+        load_chunks(spark, str(tmp_path), "t", SCHEMA).collect()
+    (tmp_path / "latest.json").write_text('{"t": [{"k": "a"}, {"k"')
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST"):
+        load_bundle(spark, str(tmp_path / "latest.json"), "t", SCHEMA).collect()
