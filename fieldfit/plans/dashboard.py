@@ -32,6 +32,7 @@ COMPLETENESS_COLUMNS = {
     "dias_restantes_prazo": "completude_dias_restantes_prazo",
 }
 SEARCH_COLUMNS = ("display_name", "company_name", "ticket_id", "company_id", "id_grupo_economico")
+SLICES = 256  # of the values inside percentile brackets
 SCORE_COLUMNS = ("id_grupo_economico", "company_name", "basic_value_score", "instalation_completeness_grade", "mrr")
 
 
@@ -184,8 +185,10 @@ def percentile_values(
     """Exact interpolated percentiles without sorting all values in one task.
 
     A sketch first brackets every percentile. One more pass counts the values
-    between brackets as totals and keeps single values only inside a bracket:
-    a few times rows / accuracy distinct values reach the final running count.
+    between brackets as totals and keeps single values only inside a bracket: a
+    few times rows / accuracy distinct values. A second sketch cuts those into
+    slices; totals per slice, a bounded number, give the count before each slice,
+    and running counts are taken inside the slices only.
     """
     values = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("v"))
     margin = 5.0 / accuracy
@@ -206,11 +209,25 @@ def percentile_values(
     counted = (
         bounded.groupBy(below.alias("zone"), F.when(inside, F.col("v")).alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum("n").over(Window.orderBy("zone", F.asc_nulls_first("v"))))
     )
-    ranks = counted.select("v", "n", "upto", F.max("upto").over(Window.partitionBy()).alias("total")).withColumn(
-        "p", F.explode(F.array(*[F.lit(float(p)) for p in percentiles]))
+    inner = counted.agg(F.percentile_approx("v", [i / SLICES for i in range(1, SLICES)], 10 * SLICES)).scalar()
+    sliced = counted.withColumn("inner", inner).select(
+        "zone",
+        F.when(F.col("v").isNull(), -1).otherwise(F.size(F.filter("inner", lambda c: c < F.col("v")))).alias("slice"),
+        "v",
+        "n",
     )
+    totals = sliced.groupBy("zone", "slice").agg(F.sum("n").alias("m"))  # zones times slices at most
+    starts = totals.select("zone", "slice", (F.sum("m").over(Window.orderBy("zone", "slice")) - F.col("m")).alias("start"))
+    so_far = Window.partitionBy("zone", "slice").orderBy("v")
+    ranks = sliced.join(starts, ["zone", "slice"]).select(
+        "v",
+        "n",
+        (F.col("start") + F.sum("n").over(so_far)).alias("upto"),
+        totals.agg(F.sum("m")).scalar().alias("total"),
+    )
+    # After the window: it must not see a row once per percentile.
+    ranks = ranks.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in percentiles])))
     at = F.col("p") * (F.col("total") - 1)
     low, high = F.floor(at), F.ceil(at)
 
