@@ -930,7 +930,7 @@ def grade_evolution_monthly(s: Sample) -> DataFrame:
 @query(EVOLUTION_SQL)
 def history_load(s: Sample) -> DataFrame:
     """Loading the same history twice changes nothing."""
-    history = weekly(s)
+    history = checkpointed(weekly(s))
     keys = ["snapshot_date", "grade"]
     return snapshots.upsert(snapshots.upsert(history.limit(0), history, keys), history, keys)
 
@@ -952,7 +952,7 @@ def dash(s: Sample) -> DataFrame:
         s.tickets_sync(),
         s.members(),
         dashboard.latest_score(s.scores()),
-        s.field(),
+        s.kept("field"),
         completeness.completeness_by_deal(s.warehouse(), AS_OF, RULES),
         s.pairs(),
         s.checks(),
@@ -1125,6 +1125,6 @@ def visible_members(s: Sample) -> DataFrame:
 )
 def reconciled_grades(s: Sample) -> DataFrame:
     """Graded rows before the de-duplication against the published ones."""
-    before = completeness.to_published(completeness.graded_deals(metrics(s), RULES))
+    before = checkpointed(completeness.to_published(completeness.graded_deals(metrics(s), RULES)))
     after = contracts.dedupe_deals(before)
     return reconcile.reconcile(before, after, ["time_segmento", "nota_instalacao"], ["qtd_completude"])

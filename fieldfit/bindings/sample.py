@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from fieldfit.config import DEFAULT_RULES
 from fieldfit.functions import split_list
+from fieldfit.session import scratch_path
 from fieldfit.operators.esn import esn_validation
 from fieldfit.operators.relational import latest_per_key
 from fieldfit.operators.snapshots import stamp
@@ -40,6 +41,7 @@ class Sample:
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
         self._schemas: dict[str, T.StructType] = {}
+        self._kept: dict[str, tuple[str, T.StructType]] = {}
 
     def table(self, name: str) -> DataFrame:
         """A sample table; its schema is read from the files only once.
@@ -52,6 +54,18 @@ class Sample:
             self._schemas[name] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(self._schemas[name]).parquet(path)
 
+    def kept(self, name: str) -> DataFrame:
+        """A derived table that a plan reads several times, written once as a warehouse would hold it.
+
+        Every call gives a frame of its own, as for ``table``.
+        """
+        if name not in self._kept:
+            df, path = getattr(self, name)(), scratch_path(self.spark, name)
+            df.write.parquet(path)
+            self._kept[name] = path, df.schema
+        path, schema = self._kept[name]
+        return self.spark.read.schema(schema).parquet(path)
+
     # --- warehouse ---------------------------------------------------------
 
     def lines(self) -> DataFrame:
@@ -184,11 +198,11 @@ class Sample:
 
     def warehouse(self) -> Warehouse:
         return Warehouse(
-            self.lines(),
+            self.kept("lines"),
             self.companies(),
             self.associations(),
             self.groups(),
-            self.cube(),
+            self.kept("cube"),
             self.deliveries(),
             self.devices(),
             self.finished(),
@@ -320,12 +334,12 @@ class Sample:
 
     def tickets_sync(self) -> DataFrame:
         # Tickets with a field visit after their stage: only finished visits count.
-        visited = self.field().filter("status = 'CONCLUÍDA'")
+        visited = self.kept("field").filter("status = 'CONCLUÍDA'")
         built = tickets(self.crm(), visited, self.company_names(), self.owners())
         return stamp(built, AS_OF_TS)
 
     def pairs(self) -> DataFrame:
-        return esn_validation(self.cube(), self.deliveries(), unique=True)
+        return esn_validation(self.kept("cube"), self.deliveries(), unique=True)
 
     def serial_text(self) -> DataFrame:
         """Tickets with their parsed serial text."""

@@ -33,12 +33,14 @@ def last_carried(updates: DataFrame, keys: list[str], order=None) -> DataFrame:
     carries every column.
     """
     values = [c for c in updates.columns if c not in {*keys, *(order or ()), *ARRIVAL}]
+    if not values:
+        return distinct_keys(updates, *keys)
     boxed = {c: F.struct(F.col(c).alias("value")) for c in values}
     if CARRIED not in updates.columns:
         return last_arrivals(updates, keys, order).withColumns(boxed)
     arrival = F.struct(*[c for c in (order or ORDER) if c in updates.columns])
     last = [F.max_by(boxed[c], F.when(F.array_contains(CARRIED, c), arrival)).alias(c) for c in values]
-    return updates.groupBy(*keys).agg(*last) if last else distinct_keys(updates, *keys)
+    return updates.groupBy(*keys).agg(*last)
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys: list[str], order=None) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from fieldfit.operators.snapshots import ARRIVAL, upsert
 
-COMMIT_SCHEMA = "version bigint, source string"
+COMMIT_SCHEMA = "version bigint, source string, keys array<string>, buckets int, replaced array<int>, written array<int>"
+BUCKET = "_bucket"
 
 
 class SnapshotStore:
@@ -16,11 +17,17 @@ class SnapshotStore:
 
     A reader sees the newest committed version; a version whose commit record
     was never written is ignored and overwritten by the next publish.
+
+    ``merge`` keeps a table in ``buckets`` by the hash of its keys. A later merge
+    reads and writes only the buckets its payload has keys of; the others stay
+    where older versions wrote them, and a commit lists which it replaced. With
+    more buckets a small payload touches less of the table.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
     def _commits(self, table: str) -> DataFrame | None:
         try:
@@ -39,25 +46,71 @@ class SnapshotStore:
         commits = self._commits(table)
         return commits is not None and not commits.filter(F.col("source") == source).isEmpty()
 
+    def _layout(self, table: str) -> tuple[list[str] | None, int, dict[int, int] | None, int] | None:
+        """Keys, bucket count, version per bucket and newest version; one small record per commit.
+
+        A version published as a whole has no buckets.
+        """
+        commits = self._commits(table)
+        records = [] if commits is None else sorted(commits.collect(), key=lambda r: r["version"])
+        if not records:
+            return None
+        keys, buckets, places = None, 0, None
+        for r in records:
+            if r["replaced"] is None:
+                keys, buckets, places = r["keys"], r["buckets"] or 0, None if r["keys"] is None else {}
+            if places is not None:
+                for b in r["replaced"] or ():
+                    places.pop(b, None)
+                places.update(dict.fromkeys(r["written"], r["version"]))
+        return keys, buckets, places, records[-1]["version"]
+
     def current(self, table: str) -> DataFrame | None:
-        version = self.version(table)
-        return None if version is None else self.spark.read.parquet(self._path(table, version))
+        layout = self._layout(table)
+        if layout is None:
+            return None
+        _, _, places, version = layout
+        if places is None:
+            return self.spark.read.parquet(self._path(table, version))
+        return self._read(table, places, sorted(places))
+
+    def _read(self, table: str, places: dict[int, int], wanted: list[int]) -> DataFrame:
+        """The wanted buckets, each where its newest version is."""
+        paths = [f"{self._path(table, places[b])}/{BUCKET}={b}" for b in wanted]
+        return self.spark.read.option("mergeSchema", "true").parquet(*paths)
 
     def publish(self, df: DataFrame, table: str, source: str = "") -> int:
-        """Write a new version and make it current; never touches the old one."""
+        """Write a whole new version and make it current; never touches the old one."""
         version = (self.version(table) or 0) + 1
         df.write.mode("overwrite").parquet(self._path(table, version))
-        record = self.spark.createDataFrame([(version, source)], COMMIT_SCHEMA).coalesce(1)
-        record.write.mode("append").json(f"{self.root}/{table}/_commits_log")
-        return version
+        return self._commit(table, (version, source, None, None, None, None))
+
+    def _commit(self, table: str, record: tuple) -> int:
+        self.spark.createDataFrame([record], COMMIT_SCHEMA).coalesce(1).write.mode("append").json(f"{self.root}/{table}/_commits_log")
+        return record[0]
 
     def merge(self, updates: DataFrame, table: str, keys: list[str], source: str = "") -> int:
         """Upsert into the current version (or into an empty table)."""
-        base = self.current(table)
-        if base is None:
-            columns = [c for c in updates.columns if c not in ARRIVAL]
-            base = updates.select(*columns).limit(0)
-        return self.publish(upsert(base, updates, keys), table, source)
+        layout = self._layout(table)
+        version = 1 if layout is None else layout[3] + 1
+        bucketed = layout is not None and layout[0] == keys and layout[2] is not None
+        buckets = layout[1] if bucketed else self.buckets
+        bucket = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+        touched = None
+        if bucketed:
+            # as many numbers as there are buckets at most
+            touched = sorted(r[0] for r in updates.select(bucket.alias(BUCKET)).distinct().collect())
+            present = [b for b in touched if b in layout[2]]
+            base = self._read(table, layout[2], present) if present else self.current(table).limit(0)
+        else:
+            base = self.current(table)
+            if base is None:
+                base = updates.select(*[c for c in updates.columns if c not in ARRIVAL]).limit(0)
+        merged = upsert(base, updates, keys).withColumn(BUCKET, bucket).hint("rebalance", BUCKET)
+        path = self._path(table, version)
+        merged.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        written = sorted(r[0] for r in self.spark.read.parquet(path).select(BUCKET).distinct().collect()) if touched != [] else []
+        return self._commit(table, (version, source, keys, buckets, touched, written))
 
     def _path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v={version:08d}"

@@ -128,3 +128,24 @@ def test_damaged_files_stop_the_job(spark, tmp_path, text):
     (tmp_path / "latest.json").write_text('{"t": [{"k": "a"}, {"k"')
     with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST"):
         load_bundle(spark, str(tmp_path / "latest.json"), "t", SCHEMA).collect()
+
+
+def test_merge_leaves_untouched_buckets_in_place(spark, tmp_path, frame, rows):
+    store = SnapshotStore(spark, str(tmp_path / "store"), buckets=8)
+    store.merge(spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit(0).alias("v")), "t", ["k"])
+    before = {f for f in (tmp_path / "store" / "t").rglob("*.parquet")}
+    assert store.merge(frame("k string, v int", ("7", 9)), "t", ["k"]) == 2
+    new = {f for f in (tmp_path / "store" / "t").rglob("*.parquet")} - before
+    assert {f.parent.parent.name for f in new} == {"v=00000002"} and len({f.parent.name for f in new}) == 1
+    assert rows(store.current("t").filter("v = 9")) == [("7", 9)] and store.current("t").count() == 100
+    # only the one bucket is read from the new version
+    used = store.current("t").inputFiles()
+    assert sum("v=00000002" in f for f in used) >= 1 and len({f.split("/_bucket=")[1].split("/")[0] for f in used}) == 8
+    # an empty payload and a new column
+    assert store.merge(frame("k string, v int", ("7", 9)).limit(0), "t", ["k"]) == 3
+    store.merge(frame("k string, w int", ("7", 1), ("new", 2)), "t", ["k"])
+    assert rows(store.current("t").filter("w is not null"), "k", "v", "w") == [("7", 9, 1), ("new", None, 2)]
+    store.publish(frame("k string", ("only",)), "t")
+    assert rows(store.current("t")) == [("only",)]
+    store.merge(frame("k string", ("more",)), "t", ["k"])
+    assert rows(store.current("t")) == [("more",), ("only",)]
