@@ -208,7 +208,7 @@ def tickets_not_dead(s: Sample) -> DataFrame:
     return relational.where_not_in(s.cube(), "ticket_status", DEAD_SHIPMENT_STATUS).select("ticket_id", "ticket_status")
 
 
-@query("SELECT esn, sku FROM v_deliveries WHERE sku LIKE 'DEV%'")
+@query("SELECT esn, sku FROM v_device_deliveries")
 def device_deliveries(s: Sample) -> DataFrame:
     rows = relational.where_not_prefixed(s.deliveries(), "sku", ACCESSORY_SKU_PREFIXES)
     return relational.where_not_in(rows, "sku", ACCESSORY_SKUS).select("esn", "sku")
@@ -224,6 +224,28 @@ def deals_without_denied(s: Sample) -> DataFrame:
     return relational.drop_denied(deals, "ticket_associated_deal_id", denied)
 
 
+PROBE_SQL = "(SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS k FROM orders)"
+
+
+@query(
+    f"""SELECT 'plain' AS subquery, count(*) AS kept FROM {PROBE_SQL} WHERE k NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)
+    UNION ALL SELECT 'with a null', count(*) FROM {PROBE_SQL}
+      WHERE k NOT IN (SELECT CASE WHEN c_acctbal > 0 THEN c_custkey END FROM customer)
+    UNION ALL SELECT 'empty', count(*) FROM {PROBE_SQL} WHERE k NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NULL)"""
+)
+def not_in_cases(s: Sample) -> DataFrame:
+    """What NOT IN keeps of probes that may be NULL, by what the subquery holds."""
+    probe = s.table("orders").select(F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey")).alias("k"))
+    rich = F.when(F.col("c_acctbal") > 0, F.col("c_custkey")).alias("k")
+    nullable = s.table("customer").select(rich)
+    subs = {"plain": nullable.filter("k is not null"), "with a null": nullable, "empty": nullable.filter("false")}
+    kept = [
+        relational.not_in(probe, sub, "k").agg(F.count(F.lit(1)).alias("kept")).select(F.lit(name).alias("subquery"), "kept")
+        for name, sub in subs.items()
+    ]
+    return kept[0].unionByName(kept[1]).unionByName(kept[2])
+
+
 @query(
     """SELECT ticket_associated_deal_id, product_id, data_inicio_assinatura FROM v_lines
     WHERE data_inicio_assinatura >= DATE '1999-01-01'"""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldfit.config import DEFAULT_RULES
+from fieldfit.config import ACCESSORY_SKU_PREFIXES, ACCESSORY_SKUS, DEFAULT_RULES
 from fieldfit.functions import split_list
 from fieldfit.session import scratch_path
 from fieldfit.operators.esn import esn_validation
@@ -170,8 +170,15 @@ class Sample:
             F.concat(F.lit("E"), text("l_orderkey")).alias("ticket_id_crm"),
             F.when(F.expr("not (l_tax = 0 and l_discount = 0)"), text("l_partkey")).alias("esn"),
             text("l_suppkey").alias("unit_id"),
-            F.when(F.col("l_linenumber") == 7, F.concat(F.lit("PAREM"), text("l_suppkey")))
-            .when(F.expr("l_linenumber = 6 and l_returnflag = 'N'"), "PAPERCHAVIDE")
+            F.when(
+                F.col("l_linenumber") == 7,
+                F.concat(F.get(F.array(*map(F.lit, ACCESSORY_SKU_PREFIXES)), F.expr("int(l_suppkey % 4)")), text("l_suppkey")),
+            )
+            # the six accessories, and no article number at all for the seventh
+            .when(
+                F.expr("l_linenumber = 6 and l_returnflag = 'N'"),
+                F.get(F.array(*map(F.lit, ACCESSORY_SKUS)), F.expr("int(l_suppkey % 7)")),
+            )
             .otherwise(F.concat(F.lit("DEV"), text("l_linenumber")))
             .alias("sku"),
             F.concat(F.lit("M"), text("l_linenumber")).alias("modelo_item"),

@@ -73,12 +73,20 @@ VIEWS["v_deliveries"] = """
 SELECT 'E' || l_orderkey AS ticket_id_crm,
        CASE WHEN l_tax = 0 AND l_discount = 0 THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS esn,
        CAST(l_suppkey AS VARCHAR) AS unit_id,
-       CASE WHEN l_linenumber = 7 THEN 'PAREM' || l_suppkey
-            WHEN l_linenumber = 6 AND l_returnflag = 'N' THEN 'PAPERCHAVIDE'
+       CASE WHEN l_linenumber = 7
+            THEN CASE l_suppkey % 4 WHEN 0 THEN 'PAREM' WHEN 1 THEN 'PAPNP' WHEN 2 THEN 'PAPERCAMAUX' ELSE 'PAPERCARTR' END || l_suppkey
+            WHEN l_linenumber = 6 AND l_returnflag = 'N'
+            THEN CASE l_suppkey % 7 WHEN 0 THEN 'PAPERCAMAUXCD' WHEN 1 THEN 'PAPERCHAVIDE' WHEN 2 THEN 'PAPERCAMAUXCI'
+                 WHEN 3 THEN 'PAPERCAMAUXCE' WHEN 4 THEN 'PAPERCARTRFID125' WHEN 5 THEN 'PAPERCARTRFID013' END
             ELSE 'DEV' || l_linenumber END AS sku,
        'M' || l_linenumber AS modelo_item, l_returnflag || l_linestatus AS item_name, l_shipdate AS created_at
 FROM lineitem"""
 
+VIEWS["v_device_deliveries"] = """
+SELECT * FROM v_deliveries
+WHERE sku NOT LIKE 'PAREM%' AND sku NOT LIKE 'PAPNP%' AND sku NOT LIKE 'PAPERCAMAUX%' AND sku NOT LIKE 'PAPERCARTR%'
+  AND sku NOT IN ('PAPERCAMAUXCD', 'PAPERCHAVIDE', 'PAPERCAMAUXCI', 'PAPERCAMAUXCE', 'PAPERCARTRFID125', 'PAPERCARTRFID013')"""
+
 VIEWS["v_devices"] = """
 SELECT CAST(l_partkey AS VARCHAR) AS esn, CAST(l_suppkey AS VARCHAR) AS unit_id,
        CASE WHEN l_linenumber <> 5 THEN 'OS' || l_orderkey || '-' || l_linenumber END AS ordem_de_servico
@@ -243,8 +251,8 @@ FROM v_group_members AS m LEFT JOIN v_groups AS g ON g.id = m.grupo_economico_id
 
 VIEWS["v_ships"] = """
 SELECT t.ticket_associated_deal_id, d.esn, d.unit_id, t.envio__classe
-FROM v_cube AS t JOIN v_deliveries AS d ON d.ticket_id_crm = t.ticket_id
-WHERE t.pipeline_label = 'Envios' AND t.ticket_status = 'Envio Entregue' AND d.esn IS NOT NULL AND d.sku LIKE 'DEV%'"""
+FROM v_cube AS t JOIN v_device_deliveries AS d ON d.ticket_id_crm = t.ticket_id
+WHERE t.pipeline_label = 'Envios' AND t.ticket_status NOT IN ('Envio Retornado', 'Envio Cancelado') AND d.esn IS NOT NULL"""
 
 VIEWS["v_unique_ships"] = """
 SELECT ticket_associated_deal_id, esn, envio__classe, unit_id FROM v_ships
