@@ -31,6 +31,7 @@ from fieldfit.llm.bpe_lattice import Lattice
 MARK = "▁"  # stands for a blank
 CACHED_STRETCHES = 250_000
 SETTLE_EVERY = 64
+REMEMBERED_STATES = 150_000
 BATCH_CHARS = 2_000_000
 
 stretches = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
@@ -61,35 +62,55 @@ class Pieces:
         get = self.scores.get
         self.lattice = Lattice([p for p in self.ids], lambda pair: get(pair[0] + pair[1]) if pair[0] and pair[1] else None)
         self.known: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop the remembered steps of the search."""
+        # A state: per position that a longer token could begin at, the symbols
+        # since and the token before; the present position last.
+        self.states: list[tuple] = [(("", None),)]
+        self.number = {self.states[0]: 0}
+        self.steps: dict[tuple[int, str], tuple[int, str, bool]] = {}
+
+    def step(self, state: int, symbol: str) -> tuple[int, str, bool]:
+        """Next state, the token that ends here, and whether no other position stays open."""
+        lattice, last, still = self.lattice, None, []
+        for since, before in self.states[state]:
+            token = since + symbol
+            if last is None and token in lattice.tokens and lattice.follows(before, token):
+                last = token
+            if token in lattice.prefixes:
+                still.append((token, before))
+        key = (*still, ("", last))
+        to = self.number.get(key)
+        if to is None:
+            to = self.number[key] = len(self.states)
+            self.states.append(key)
+        found = self.steps[state, symbol] = to, last, not still
+        return found
 
     def stream(self, symbols: Iterator[str]) -> Iterator[int]:
         """Ids of a stream of symbols, given out as soon as they are settled."""
-        lattice = self.lattice
-        tokens, prefixes, follows = lattice.tokens, lattice.prefixes, lattice.follows
+        if len(self.states) > REMEMBERED_STATES:
+            self.forget()
+        tokens, steps = self.lattice.tokens, self.steps
         paths: dict[int, tuple[int, str]] = {}  # position: (where its last token begins, token), unsettled ones only
-        open_at: list[tuple[int, str, str | None]] = [(0, "", None)]  # (position, symbols since, token before)
-        settled = at = 0
+        settled = at = state = 0
         for symbol in symbols:
             if symbol not in tokens:  # no piece: its bytes, and nothing reaches across
                 yield from self.path(paths, settled, at)
                 yield from (self.byte_ids[b] for b in symbol.encode("utf-8", "surrogatepass"))
                 at += 1
-                settled, paths, open_at = at, {}, [(at, "", None)]
+                settled, paths, state = at, {}, 0
                 continue
             at += 1
-            still = []
-            for start, since, before in open_at:
-                token = since + symbol
-                if at not in paths and token in tokens and follows(before, token):
-                    paths[at] = (start, token)
-                if token in prefixes:
-                    still.append((start, token, before))
-            open_at = [*still, (at, "", paths[at][1])]
-            if not still:  # only this position is left
+            state, token, alone = steps.get((state, symbol)) or self.step(state, symbol)
+            paths[at] = at - len(token), token
+            if alone:  # only this position is left
                 yield from self.path(paths, settled, at)
                 settled, paths = at, {}
             elif len(paths) >= SETTLE_EVERY:
-                meet = self.meeting(paths, [start for start, _, _ in open_at], settled)
+                meet = self.meeting(paths, [at - len(since) for since, _ in self.states[state]], settled)
                 if meet > settled:
                     yield from self.path(paths, settled, meet)
                     settled, paths = meet, {p: v for p, v in paths.items() if p > meet}
