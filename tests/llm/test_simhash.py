@@ -5,7 +5,7 @@ import re
 
 import xxhash
 
-from fieldfit.llm.simhash import entry_masks, fingerprints, links, near_duplicates
+from fieldfit.llm.simhash import entry_masks, fingerprints, kept_rows, links, near_duplicates
 
 
 def brute_fp(text, words=3):
@@ -91,3 +91,51 @@ def test_every_pair_within_reach_shares_an_entry():
 def test_fingerprints_keep_every_row(spark):
     df = spark.createDataFrame([(1, "a", 0)] * 3 + [(None, None, 1)], "doc_id bigint, text string, text_key int")
     assert fingerprints(df).count() == 4
+
+
+def brute_kept(rows, words=5):
+    """Indexes of the rows that stay: one per component of Jaccard >= 0.8, the smallest id first."""
+    def grams(text):
+        parts = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+        return {tuple(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1))} if parts else set()
+
+    sets = [grams(t) for _, t in rows]
+    left, out = set(range(len(rows))), set()
+    while left:
+        todo, group = [left.pop()], []
+        while todo:
+            i = todo.pop()
+            group.append(i)
+            near = {j for j in left if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
+            left -= near
+            todo += near
+        out.add(min(group, key=lambda i: (rows[i][0] is None, rows[i][0] or 0)))
+    return out
+
+
+def edited(rng, words, edits):
+    words = list(words)
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = f"new{rng.random()}"
+    return words
+
+
+def test_kept_rows_are_those_of_all_jaccard_pairs(spark):
+    rng = random.Random(5)
+    texts = [t for t in TEXTS if t]
+    for _ in range(40):  # chains of edits around the limit, common lines, and a large group
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.randint(5, 200))]
+        for _ in range(4):
+            texts.append(" ".join(words))
+            words = edited(rng, words, rng.randint(0, 1 + len(words) // 40))
+    line = [f"line{i}" for i in range(60)]
+    texts += [" ".join(line + [f"w{rng.randrange(3000)}" for _ in range(rng.randint(1, 60))]) for _ in range(60)]
+    base = [f"b{i}" for i in range(120)]
+    texts += [" ".join(edited(rng, base, rng.randint(1, 4))) for _ in range(60)]
+    texts = list(dict.fromkeys(texts))
+    rows = list(enumerate(texts))
+    want = sorted(texts[i] for i in brute_kept(rows))
+    assert len(want) < len(texts) - 60
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    for entry in (64, 3):
+        assert sorted(r.text for r in kept_rows(df, max_entry=entry).collect()) == want
