@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections import defaultdict
+from itertools import accumulate
 
 Pattern = tuple[int, tuple[tuple[int, int], ...]]  # sequences, ((length, documents), ...)
 
-FILLINGS = 6  # completions kept per sequence
+FILLINGS = 6  # completions kept per sequence at first
 FILLING_NODES = 1500  # nodes of the enumeration of one sequence's completions
 SEARCH_NODES = 20_000  # nodes of the search over sequences
 
@@ -60,51 +61,52 @@ def sequences(patterns: list[Pattern]) -> int:
     return sum(n for n, _ in patterns)
 
 
-def fillings(lengths: list[int], counts: dict[int, int], room: int, most_waste: int) -> list[tuple[int, tuple]]:
+def fillings(
+    lengths: list[int], counts: dict[int, int], room: int, most_waste: int, keep: int = FILLINGS, whole: bool = False, most_only: bool = False
+) -> list[tuple[int, tuple]]:
     """Undominated ways to fill ``room``, least waste first: (waste, ((length, n), ...)).
 
-    Depth first from the largest length that fits. A way that leaves room for a
-    document still there is dominated by the one with it and is not kept; branches
-    that cannot get below the waste of the best kept ways are cut.
+    Depth first from the largest length that fits, with every number of documents
+    of it from the most that fit down to none. A way that leaves room for a document
+    still there is dominated by the one with it and is not kept; a branch is cut
+    where all shorter documents together cannot bring the waste down to what is
+    allowed. The ``keep`` ways of least waste are returned, of those met within
+    FILLING_NODES nodes; unless ``whole``, a way without waste ends the enumeration.
+    ``most_only`` looks at the most documents of a length and at none only, which
+    reaches more different lengths within the nodes.
     """
     best: list[tuple[int, tuple]] = []
+    upto = [0, *accumulate(length * counts[length] for length in lengths)]  # total of the shortest ones
     nodes = 0
 
-    def limit() -> int:
-        return best[-1][0] - 1 if len(best) == FILLINGS else most_waste
-
-    def go(rest: int, below: int, chosen: tuple) -> bool:
+    def go(rest: int, below: int, chosen: tuple, skipped: int) -> bool:
+        """``skipped``: the smallest length passed over of which documents are left."""
         nonlocal nodes
         nodes += 1
         at = min(bisect_right(lengths, rest), below) - 1
-        while at >= 0 and not counts[lengths[at]]:
-            at -= 1
-        if at < 0:
-            # Any remaining shorter length that fits was looked at: maximal filling.
-            if rest <= limit():
+        while True:
+            while at >= 0 and not counts[lengths[at]]:
+                at -= 1
+            most = min(best[-1][0] - 1 if len(best) == keep else most_waste, skipped - 1)
+            if rest - upto[at + 1] > most:
+                return False
+            if at < 0:
                 best.append((rest, chosen))
                 best.sort(key=lambda w: (w[0], sum(n for _, n in w[1])))
-                del best[FILLINGS:]
-            return bool(best) and best[0][0] == 0
-        while at >= 0:
+                del best[keep:]
+                return not rest and not whole
             if nodes > FILLING_NODES and best:
                 return True
             length = lengths[at]
-            n = min(counts[length], rest // length)
-            if n:
-                if go(rest - n * length, at, (*chosen, (length, n))):
+            fit = min(counts[length], rest // length)
+            for n in range(fit, fit - 1 if most_only and fit else 0, -1):
+                left = length if n < counts[length] else skipped
+                if go(rest - n * length, at, (*chosen, (length, n)), left):
                     return True
+            skipped = length  # passed over
             at -= 1
-            # what follows is no larger than the next length; one of each number of
-            # documents can fill up, so only the waste bound cuts here
-            if at >= 0 and lengths[at] * sum_fits(at, rest) < rest - limit():
-                break
-        return False
 
-    def sum_fits(at: int, rest: int) -> int:
-        return rest // lengths[at] if lengths[at] else 0
-
-    go(room, len(lengths), ())
+    go(room, len(lengths), (), room + 1)
     return best
 
 
@@ -114,9 +116,12 @@ def pack(counts: dict[int, int], size: int) -> list[Pattern]:
     The incumbent is best-fit decreasing. The search completes the sequence around
     the largest document left, applies a completion to as many sequences at once as
     the counts allow, and cuts a branch when its waste so far exceeds what an
-    improvement on the incumbent can afford. If the incumbent reaches the bound
-    ``total / size`` it is optimal; otherwise the search ends after SEARCH_NODES
-    nodes with the best solution so far, which always holds every document.
+    improvement on the incumbent can afford. The first search looks at completions
+    with the most documents of a length or none, the second at every number of them;
+    the third, where a branch leads to no improvement, comes back and tries all completions, each also on fewer
+    sequences down to one. If the incumbent reaches the bound ``total / size`` it is
+    optimal; otherwise each search ends after SEARCH_NODES nodes with the best
+    solution so far, which always holds every document.
     """
     counts = {length: n for length, n in counts.items() if n}
     if any(not 0 < length <= size for length in counts):
@@ -124,29 +129,41 @@ def pack(counts: dict[int, int], size: int) -> list[Pattern]:
     total = sum(length * n for length, n in counts.items())
     least = -(-total // size)
     best = best_fit(counts, size)
-    if sequences(best) <= least:
-        return best
+    for most_only, thorough in ((True, False), (False, False), (False, True)):
+        if sequences(best) > least:
+            best = search(counts, size, best, most_only, thorough)
+    return best
+
+
+def search(counts: dict[int, int], size: int, best: list[Pattern], most_only: bool, thorough: bool) -> list[Pattern]:
+    """``best`` or a packing in fewer sequences, by one of the searches of ``pack``."""
+    total = sum(length * n for length, n in counts.items())
+    least = -(-total // size)
     left = dict(counts)
     lengths = sorted(left)
-    stack: list[list] = []  # [choices, next choice, applied pattern or None]
     used = waste = nodes = 0
 
-    def choices() -> list:
+    def choices(whole: bool) -> list:
+        """(waste, filling, sequences), the latter the most that can be or, if ``whole``, also fewer."""
         top = next((length for length in reversed(lengths) if left[length]), None)
         if top is None:
             return []
         left[top] -= 1
         room = size - top
-        ways = fillings(lengths, left, room, room)
+        most = min(room, (sequences(best) - 1) * size - total - waste)
+        ways = fillings(lengths, left, room, most, FILLING_NODES if whole else FILLINGS, whole, most_only) if most >= 0 else []
         left[top] += 1
         out = []
         for w, way in ways:
             need = defaultdict(int, dict(way))
             need[top] += 1
-            out.append((w, tuple(sorted(need.items(), reverse=True)), min(left[x] // c for x, c in need.items())))
+            n = min(left[x] // c for x, c in need.items())
+            while n:
+                out.append((w, tuple(sorted(need.items(), reverse=True)), n))
+                n = n // 2 if whole else 0
         return out
 
-    stack.append([choices(), 0, None])
+    stack: list[list] = [[choices(False), 0, None, not thorough]]  # [choices, next choice, applied pattern or None, all choices]
     while stack and nodes < SEARCH_NODES:
         frame = stack[-1]
         if frame[2]:  # undo
@@ -157,7 +174,12 @@ def pack(counts: dict[int, int], size: int) -> list[Pattern]:
             frame[2] = None
         affordable = (sequences(best) - 1) * size - total
         if frame[1] >= len(frame[0]) or waste + frame[0][frame[1]][0] > affordable:
-            stack.pop()
+            if frame[3]:
+                stack.pop()
+            else:
+                tried = set(frame[0])
+                frame[0], frame[1], frame[3] = [c for c in choices(True) if c not in tried], 0, True
+                nodes += 1
             continue
         w, fill, n = frame[0][frame[1]]
         frame[1] += 1
@@ -175,5 +197,5 @@ def pack(counts: dict[int, int], size: int) -> list[Pattern]:
                 break
             continue
         if used + -(-rest // size) < sequences(best):
-            stack.append([choices(), 0, None])
+            stack.append([choices(False), 0, None, not thorough])
     return best

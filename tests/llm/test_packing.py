@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from conftest import SF
-from fieldfit.llm.bin_completion import best_fit, pack, sequences
+from fieldfit.llm.bin_completion import best_fit, fillings, pack, sequences
 from fieldfit.llm.packing import Encoder, pack_documents
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -124,3 +124,29 @@ def test_odd_rows(spark, size):
     df = spark.createDataFrame([(i, t, 9, "x") for i, t in texts], "doc_id bigint, text string, length int, _row string")
     check(pack_documents(df, size=size, slice_rows=10).collect(), texts, size)
     assert pack_documents(df.where("false")).count() == 0
+
+
+def test_completions_with_fewer_copies_than_fit():
+    # 2000 + 1000 + 2 x 548 fills a sequence; two thousands or three 548s after the first do not
+    for k in (1, 7, 1000):
+        counts = {2000: 2 * k, 1000: 2 * k, 548: 4 * k}
+        got = pack(counts, 4096)
+        holds(got, counts, 4096)
+        assert sequences(got) == 2 * k
+        assert sequences(best_fit(counts, 4096)) > 2 * k
+
+
+def test_fillings_are_all_undominated_ones():
+    rng = random.Random(11)
+    for _ in range(200):
+        counts = {rng.randint(1, 12): rng.randint(1, 3) for _ in range(4)}
+        room, lengths = rng.randint(1, 30), sorted(counts)
+        ways = {()}
+        for length in reversed(lengths):
+            ways = {(*w, n) for w in ways for n in range(counts[length] + 1)}
+        want = set()
+        for w in ways:
+            rest = room - sum(n * x for n, x in zip(w, reversed(lengths)))
+            if rest >= 0 and all(n == counts[x] or x > rest for n, x in zip(w, reversed(lengths))):
+                want.add((rest, tuple((x, n) for n, x in zip(w, reversed(lengths)) if n)))
+        assert set(fillings(lengths, counts, room, room, 1000, True)) == want
