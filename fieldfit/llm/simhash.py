@@ -12,23 +12,18 @@ costs one entry. An entry with more than ``max_entry`` fingerprints gives no pai
 its members are linked through their one-bit variants instead (two fingerprints
 differ in two bits or less exactly if they share such a variant), which is linear
 in the members and loses no link.
-
-``kept_rows`` serves stages that ask for a Jaccard similarity instead of a number of
-bits. No radius in bits finds all such pairs (at 0.8 about ten bits differ, and up to
-twenty), so there the index files shingles: as many rare ones of each text as make
-every pair share an entry. The candidates are compared shingle by shingle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldfit.llm.common import components, keep_rows, stored
@@ -39,14 +34,6 @@ MAX_BITS = 2
 MAX_ENTRY = 64
 SLICE = 1 << 16
 
-# The pipeline's stage: similarity p/q of the sets of five-word shingles.
-STAGE_WORDS = 5
-STAGE_LIKE = (4, 5)
-COMMON_TEXTS = 10_000  # texts looked at for common shingles
-COMMON_SHINGLES = 200_000
-ROUNDS = 6  # of comparisons in large entries, the last of which is complete
-PIVOTS = 4
-
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
     """XXH64 of every run of ``words`` words, repeats included."""
@@ -156,6 +143,21 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, max_entry: int = MAX_ENTRY)
     return pairs.unionByName(through)
 
 
+def with_components(docs: DataFrame, key: str, text: str, words: int, max_bits: int, max_entry: int) -> DataFrame:
+    """(``_key``, ``text_key``, ``fp``, ``first``) for every row.
+
+    ``first`` is the lowest (key is NULL, key, text key) of the row's component, so
+    that components without any key are told apart too.
+    """
+    rows = stored(fingerprints(docs, key, text, words), "fingerprints")
+    fps = stored(rows.groupBy("fp").agg(F.min(F.struct(F.col("_key").isNull().alias("none"), "_key", "text_key")).alias("low")), "distinct-fingerprints")
+    roots = components(links(fps, max_bits, max_entry)).withColumnRenamed("node", "fp")
+    rooted = stored(fps.join(roots, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root")), "rooted-fingerprints")
+    firsts = rooted.groupBy("root").agg(F.min("low").alias("first"))
+    named = stored(rooted.join(firsts, "root").select("fp", "first"), "fingerprint-components")
+    return rows.join(named, "fp").select("_key", "text_key", "fp", "first")
+
+
 def near_duplicates(
     docs: DataFrame,
     key: str = "doc_id",
@@ -174,207 +176,29 @@ def near_duplicates(
     * Repeated rows and keys keep their rows; other columns may have any name; an
       empty table gives an empty result.
     """
-    rows = stored(fingerprints(docs, key, text, words), "fingerprints")
-    fps = stored(rows.groupBy("fp").agg(F.min("_key").alias("low")), "distinct-fingerprints")
-    roots = components(links(fps, max_bits, max_entry)).withColumnRenamed("node", "fp")
-    rooted = fps.join(roots, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = stored(rooted.join(lows, "root").select("fp", "component_id"), "fingerprint-components")
-    return rows.join(named, "fp").select(
-        F.col("_key").alias(key), "text_key", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
-
-
-def shingle_set(text: str | None, words: int) -> np.ndarray:
-    """The different shingle hashes of a text, sorted."""
-    return np.unique(shingle_hashes(text, words))
-
-
-def set_name(hashes: np.ndarray) -> int:
-    """A signed 64-bit name of a shingle set."""
-    name = xxhash.xxh64_intdigest(hashes.tobytes(), SEED)
-    return name - (1 << 64) if name >> 63 else name
-
-
-def over_texts(docs: DataFrame, text: str, one: Callable[[str | None], list[tuple]], schema: str) -> DataFrame:
-    """The rows (bigints) that ``one`` makes of each text."""
-    names = [part.split()[0] for part in schema.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                made = [np.asarray(one(t.as_py()), np.int64).reshape(-1, len(names)) for t in batch["_text"][at : at + 256]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(made).T], names)
-
-    return docs.select(F.col(f"`{text}`").alias("_text")).mapInArrow(run, schema)
-
-
-def named_rows(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """(``_key``, ``text_key``, ``node``) for every row; rows with equal shingle sets share a node."""
-    kind = docs.schema[key].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes = [set_name(shingle_set(t.as_py(), words)) for t in batch["_text"]]
-            yield pa.RecordBatch.from_arrays(
-                [batch["_key"], batch["text_key"], pa.array(nodes, pa.int64())], ["_key", "text_key", "node"]
-            )
-
-    rows = docs.select(
-        F.col(f"`{key}`").alias("_key"), F.xxhash64(F.col(f"`{text}`")).alias("text_key"), F.col(f"`{text}`").alias("_text")
-    )
-    return rows.mapInArrow(run, f"_key {kind}, text_key bigint, node bigint")
-
-
-def common_shingles(docs: DataFrame, text: str, words: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that stand in several of some texts, sorted, and in how many.
-
-    They only order the index: whichever are found, it misses no pair.
-    """
-    some = docs.where(F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(max(1, rows // COMMON_TEXTS))) == 0)
-    found = over_texts(some, text, lambda t: shingle_set(t, words).view(np.int64), "entry bigint")
-    counts = found.groupBy("entry").count().where("count > 1").orderBy(F.desc("count"), "entry").limit(COMMON_SHINGLES).toArrow()
-    entries, n = counts["entry"].to_numpy().view(np.uint64), counts["count"].to_numpy()
-    order = np.argsort(entries)
-    return entries[order], n[order]
-
-
-def prefix(hashes: np.ndarray, common: np.ndarray, counts: np.ndarray, like: tuple[int, int]) -> np.ndarray:
-    """The shingles of a set that are filed.
-
-    Shingles have one order for all texts, rare ones first. Sets of similarity p/q
-    or more share at least p/q of either, so the first ``n - ceil(n p/q) + 1``
-    shingles of both have one in common.
-    """
-    p, q = like
-    length = len(hashes) - -(-len(hashes) * p // q) + 1 if len(hashes) else 0
-    if len(common):
-        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
-        rank = np.where(common[at] == hashes, counts[at], 0)
-        hashes = hashes[np.argsort(rank, kind="stable")]
-    return hashes[:length]
-
-
-def similar(docs: DataFrame, rows: DataFrame, text: str, words: int, like: tuple[int, int], max_entry: int) -> DataFrame:
-    """Edges (``a``, ``b``) that connect the nodes of ``rows`` as all pairs of similarity ``like`` or more do.
-
-    Every edge is such a pair. Entries with up to ``max_entry`` nodes give all their
-    pairs. In a larger one, nodes are compared with a few of them, round by round,
-    and in the end every two that are not yet linked by some path; so no link is
-    lost and a group of near copies costs a few comparisons a node.
-    """
-    p, q = like
-    common, counts = common_shingles(docs, text, words, rows.count())
-
-    def file(t: str | None) -> np.ndarray:
-        hashes = shingle_set(t, words)
-        found = prefix(hashes, common, counts, like).view(np.int64)
-        return np.column_stack([found, np.full(len(found), set_name(hashes)), np.full(len(found), len(hashes))])
-
-    filed = over_texts(docs, text, file, "entry bigint, node bigint, n bigint")
-    several = filed.groupBy("entry").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    shared = stored(filed.join(stored(several.select("entry"), "shared-entries"), "entry").distinct(), "shingle-index")
-    sizes = stored(shared.groupBy("entry").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first")), "entry-sizes")
-    sized = shared.join(sizes, "entry")
-    small = sized.where(F.col("size") <= max_entry).groupBy("entry").agg(F.collect_list(F.struct("node", "n")).alias("nodes"))
-    large = stored(sized.where(F.col("size") > max_entry), "large-entries")
-    near = f"least(na, nb) * {q} >= greatest(na, nb) * {p}"
-
-    def pairs_of(df: DataFrame) -> DataFrame:
-        return df.where("a <> b").where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-
-    firsts = large.where("node = first").select("entry", F.col("node").alias("a"), F.col("n").alias("na"))
-    pairs = stored(
-        pairs_of(
-            small.select("nodes", F.explode("nodes").alias("x"))
-            .select("x", F.explode("nodes").alias("y"))
-            .selectExpr("x.node a", "x.n na", "y.node b", "y.n nb")
-            .where("a < b")
-        )
-        .unionByName(pairs_of(large.join(firsts, "entry").selectExpr("a", "na", "node b", "n nb")))
-        .distinct(),
-        "candidate-pairs",
+    return with_components(docs, key, text, words, max_bits, max_entry).select(
+        F.col("_key").alias(key), "text_key", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first._key").alias("component_id")
     )
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(large.select("node")).distinct()
-    sets = stored(sets_of(docs, rows, nodes, text, words), "shingle-sets")
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        left, right = sets.selectExpr("node a", "hashes ha"), sets.selectExpr("node b", "hashes hb")
-        both = pairs.join(left, "a").join(right, "b").withColumn("same", F.size(F.array_intersect("ha", "hb")))
-        return both.where(f"same * {p + q} >= (size(ha) + size(hb)) * {p}").select("a", "b")
-
-    edges = stored(linked(pairs), "similar-pairs")
-    if large.isEmpty():
-        return edges
-    for turn in range(1, ROUNDS + 1):
-        roots = components(edges)
-        rooted = stored(
-            large.drop("first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted-entries"
-        )
-        groups = rooted.groupBy("entry", "root").agg(
-            F.count(F.lit(1)).alias("k"),
-            F.min_by(F.struct(F.col("node").alias("a"), F.col("n").alias("na")), F.xxhash64("node", F.lit(turn))).alias("one"),
-        )
-        ranked = groups.withColumn("nth", F.row_number().over(Window.partitionBy("entry").orderBy(F.desc("k"), "root")))
-        open_ = ranked.groupBy("entry").agg(F.count(F.lit(1)).alias("groups"), F.max_by("root", "k").alias("main")).where("groups > 1")
-        open_ = stored(open_, "open-entries")
-        members = stored(rooted.join(open_, "entry"), "open-members")
-        work = members.agg(F.sum(F.when(F.col("root") != F.col("main"), F.col("size"))).alias("w"), F.count(F.lit(1)).alias("n")).first()
-        if not work["n"]:
-            return edges
-        last = turn == ROUNDS or work["w"] <= work["n"] * PIVOTS
-        if last:  # every two that no path links yet
-            ones = members.where("root <> main").selectExpr("entry", "node a", "n na", "root ra")
-        else:
-            ones = ranked.where(F.col("nth") <= PIVOTS).selectExpr("entry", "one.a a", "one.na na", "root ra").join(open_.select("entry"), "entry")
-        more = pairs_of(members.join(ones, "entry").where("root <> ra").selectExpr("a", "na", "node b", "n nb")).distinct()
-        edges = stored(edges.unionByName(linked(stored(more, "further-pairs"))), "similar-pairs")
-        if last:
-            return edges
-    return edges
-
-
-def sets_of(docs: DataFrame, rows: DataFrame, nodes: DataFrame, text: str, words: int) -> DataFrame:
-    """(``node``, ``hashes``) of the given nodes, from one text each."""
-    wanted = stored(rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("text_key").alias("_t")).select("_t"), "wanted-texts")
-    if wanted.count() <= COMMON_SHINGLES:
-        wanted = F.broadcast(wanted)  # so many numbers at most
-    hashed = docs.select(F.xxhash64(F.col(f"`{text}`")).alias("_t"), F.col(f"`{text}`").alias("_text"))
-    texts = hashed.join(wanted, "_t", "left_semi").dropDuplicates(["_t"]).select("_text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t in batch["_text"]:
-                hashes = shingle_set(t.as_py(), words)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([set_name(hashes)], pa.int64()), pa.array([hashes.view(np.int64)], pa.list_(pa.int64()))], ["node", "hashes"]
-                )
-
-    return texts.mapInArrow(run, "node bigint, hashes array<bigint>")
 
 
 def kept_rows(
     docs: DataFrame,
     key: str = "doc_id",
     text: str = "text",
-    words: int = STAGE_WORDS,
-    like: tuple[int, int] = STAGE_LIKE,
+    words: int = WORDS,
+    max_bits: int = MAX_BITS,
     max_entry: int = MAX_ENTRY,
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, that stay when every group of near copies keeps one.
+    """The rows of ``docs``, all columns, that stay when every component keeps one.
 
-    Two texts are near copies if the Jaccard similarity of their sets of
-    ``words``-word shingles is ``like`` (p, q) = p/q or more; groups are the
-    components of that relation. Of a group the row with the smallest key stays,
-    NULL keys last, of several with that key one.
+    * The row with the smallest key stays, NULL keys last; of several with that key
+      the one with the lowest text hash, and one of rows equal in both.
+    * NULL texts and texts without words have fingerprint zero and are linked like
+      any other, so one of them stays.
+    * Other columns may have any name; an empty table gives an empty result.
     """
-    rows = stored(named_rows(docs, key, text, words), "named-rows")
-    roots = components(similar(docs, rows, text, words, like, max_entry)).withColumnRenamed("node", "_node")
-    nodes = rows.groupBy("node").agg(F.min(F.struct(F.col("_key").isNull(), "_key", "text_key")).alias("low"))
-    rooted = stored(nodes.join(roots, F.col("node") == F.col("_node"), "left").select("node", "low", F.coalesce("root", "node").alias("root")), "rooted-nodes")
-    lows = rooted.groupBy("root").agg(F.min("low").alias("first"))
-    firsts = stored(rooted.join(lows, "root").select("node", "first"), "node-firsts")
-    decided = rows.join(firsts, "node").select(
+    rows = with_components(docs, key, text, words, max_bits, max_entry)
+    decided = rows.select(
         F.col("_key").alias(key),
         "text_key",
         (F.col("_key").eqNullSafe(F.col("first._key")) & (F.col("text_key") == F.col("first.text_key"))).alias("kept"),

@@ -93,49 +93,50 @@ def test_fingerprints_keep_every_row(spark):
     assert fingerprints(df).count() == 4
 
 
-def brute_kept(rows, words=5):
-    """Indexes of the rows that stay: one per component of Jaccard >= 0.8, the smallest id first."""
-    def grams(text):
-        parts = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
-        return {tuple(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1))} if parts else set()
-
-    sets = [grams(t) for _, t in rows]
-    left, out = set(range(len(rows))), set()
+def brute_kept(rows):
+    """The (id, text) rows that stay: one per component, the smallest id first, NULL ids last."""
+    comp, lowest = component_numbers([brute_fp(t) for _, t in rows]), {}
+    for n, row in zip(comp, rows):
+        rank = row[0] is None, row[0] or 0
+        if n not in lowest or rank < lowest[n][0]:
+            lowest[n] = rank, row
+    return [row for _, row in lowest.values()]
+
+
+def component_numbers(values):
+    """A number for the component of each value."""
+    left, number = set(values), {}
     while left:
-        todo, group = [left.pop()], []
+        todo, n = [left.pop()], len(number)
         while todo:
-            i = todo.pop()
-            group.append(i)
-            near = {j for j in left if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
+            v = todo.pop()
+            number[v] = n
+            near = {w for w in left if bin(v ^ w).count("1") <= 2}
             left -= near
             todo += near
-        out.add(min(group, key=lambda i: (rows[i][0] is None, rows[i][0] or 0)))
-    return out
-
-
-def edited(rng, words, edits):
-    words = list(words)
-    for _ in range(edits):
-        words[rng.randrange(len(words))] = f"new{rng.random()}"
-    return words
+    return [number[v] for v in values]
 
 
-def test_kept_rows_are_those_of_all_jaccard_pairs(spark):
+def test_kept_rows_are_one_of_each_component(spark):
     rng = random.Random(5)
-    texts = [t for t in TEXTS if t]
-    for _ in range(40):  # chains of edits around the limit, common lines, and a large group
-        words = [f"w{rng.randrange(3000)}" for _ in range(rng.randint(5, 200))]
-        for _ in range(4):
-            texts.append(" ".join(words))
-            words = edited(rng, words, rng.randint(0, 1 + len(words) // 40))
-    line = [f"line{i}" for i in range(60)]
-    texts += [" ".join(line + [f"w{rng.randrange(3000)}" for _ in range(rng.randint(1, 60))]) for _ in range(60)]
-    base = [f"b{i}" for i in range(120)]
-    texts += [" ".join(edited(rng, base, rng.randint(1, 4))) for _ in range(60)]
-    texts = list(dict.fromkeys(texts))
-    rows = list(enumerate(texts))
-    want = sorted(texts[i] for i in brute_kept(rows))
-    assert len(want) < len(texts) - 60
-    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    base = [" ".join(f"w{rng.randrange(3000)}" for _ in range(rng.randint(200, 400))) for _ in range(30)]
+    texts = TEXTS + base + [b.upper() for b in base[:10]] + [b + " end" for b in base[:20]] + [b[:-3] for b in base[20:]]
+    rows = [(None if i % 7 == 0 else 1000 - i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame([(*r, i % 3) for i, r in enumerate(rows)], "doc_id bigint, text string, fp int").repartition(4)
+    want = brute_kept(rows)
+    assert 25 < len(want) < len(texts) - 15
     for entry in (64, 3):
-        assert sorted(r.text for r in kept_rows(df, max_entry=entry).collect()) == want
+        got = kept_rows(df, max_entry=entry)
+        assert got.columns == df.columns
+        # of rows of a component without keys the lowest hash stays, so compare these by number
+        assert sorted(r.doc_id for r in got.collect() if r.doc_id is not None) == sorted(i for i, _ in want if i is not None)
+        assert got.count() == len(want)
+
+
+def test_kept_rows_with_repeated_and_missing_ids(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(50)) for c in "ab")
+    rows = [(1, one), (1, two), (2, one), (3, two), (None, "lone"), (None, "LONE"), (None, None), (None, ""), (1, one)]
+    got = kept_rows(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.text or "").lower() for r in got) == sorted(["", "lone", one, two])
+    assert all(r.doc_id == 1 for r in got if r.text in (one, two))
+    assert kept_rows(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
