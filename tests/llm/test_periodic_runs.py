@@ -1,0 +1,108 @@
+"""Periodic runs: against every period tried at every place, planted tails, odd rows."""
+
+import hashlib
+import random
+import re
+import zlib
+from fractions import Fraction
+
+import numpy as np
+from conftest import SF
+
+from fieldfit.llm import periodic_runs as pr
+from fieldfit.llm.queries import QUERIES
+
+
+def brute_runs(words, least=24, times=3):
+    """Maximal stretches of every period, kept if no smaller period divides them up."""
+    n, out = len(words), set()
+    for q in range(1, n // times + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            length = j - i + q
+            if length >= max(least, times * q):
+                small = next(d for d in range(1, q + 1) if all(words[x] == words[x + d] for x in range(i, i + length - d)))
+                if small == q:
+                    out.add((i, length, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def brute_row(doc_id, text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n = len(words)
+    if doc_id is not None:
+        h = zlib.crc32(str(doc_id).encode())
+        g = h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+    runs = brute_runs(words)
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    best = max(runs, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=None)
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    return (
+        doc_id, len(runs), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None,
+        sha("".join(f"{s},{length},{q}\n" for s, length, q in runs)), sha(" ".join(w for i, w in enumerate(words) if i not in gone)),
+    )
+
+
+def test_random_words_against_all_periods():
+    rng = random.Random(2)
+    for _ in range(400):
+        words = []
+        while len(words) < rng.randint(1, 120):
+            unit = [rng.randrange(rng.choice([1, 2, 3, 50])) for _ in range(rng.randint(1, 12))]
+            words += (unit * rng.randint(1, 9))[: rng.randint(1, 60)]
+        for least, times in ((24, 3), (1, 3), (5, 4)):
+            got = [tuple(r) for r in pr.period_runs(np.array(words), least, times).tolist()]
+            assert got == brute_runs(words, least, times), (words, least, times)
+
+
+def fibonacci(n):
+    a, b = "a", "ab"
+    while len(b) < n:
+        a, b = b, b + a
+    return list(b[:n])
+
+
+def test_words_rich_in_runs():
+    for words in (fibonacci(400), list("aab" * 40 + "aabaab" * 3 + "b" * 30), list("ab" * 50 + "b" + "ab" * 50), ["x"] * 500):
+        assert [tuple(r) for r in pr.period_runs(pr.named([w.encode() for w in words])).tolist()] == brute_runs(words)
+
+
+def test_whole_query_on_odd_rows(spark):
+    rng = random.Random(7)
+    texts = [None, "", " \t\n", "one", "a " * 24, "a " * 23, "a b " * 12 + "c", "é ü  x\r\n" * 30, "w " * 30_000]
+    for _ in range(60):
+        unit = [f"w{rng.randrange(30)}" for _ in range(rng.randint(1, 30))]
+        lead = [f"v{rng.randrange(9)}" for _ in range(rng.randint(0, 40))]
+        texts.append(" ".join(lead + unit * rng.randint(1, 6) + lead))
+    rows = [(i * 7, t) for i, t in enumerate(texts)] + [(None, "z " * 40), (None, None), (7, "z y " * 40)] + [(7, "z y " * 40)] * 2
+    tenths = [i for i in range(10_000) if zlib.crc32(str(i).encode()) % 10 == 0]
+    rows += [(i, " ".join(f"u{rng.randrange(200)}" for _ in range(rng.randint(0, 150)))) for i in tenths[:80]]
+    df = spark.createDataFrame([(*r, "c", 1) for r in rows], "doc_id bigint, text string, k string, runs int").repartition(4)
+    got = sorted((tuple(r) for r in pr.report(df).collect()), key=repr)
+    fast = [r for r in rows if len(r[1] or "") < 10_000]
+    assert [g for g in got if g[0] != 56] == sorted((brute_row(*r) for r in fast), key=repr)
+    assert [g[1:5] for g in got if g[0] == 56] == [(1, 0, 30_000, 1)]
+
+
+def test_operator_returns_spans_and_text(spark):
+    df = spark.createDataFrame([(1, "x y " + "a b c " * 8 + "a z")], "doc_id int, text string")
+    row = pr.periodic_runs(df).first()
+    assert [tuple(r) for r in row.runs] == [(2, 25, 3)] and row.collapsed == "x y a b c z"
+    assert pr.report(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_query_on_the_sample(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    short = {r.doc_id: r.text for r in rows if len(r.text or "") < 6000}
+    got = {r.doc_id: tuple(r) for r in QUERIES["op12_basic_factors"](spark, SF).collect()}
+    assert len(got) == len(rows) and len(short) > len(rows) // 2
+    assert {i: got[i] for i in short} == {i: brute_row(i, t) for i, t in short.items()}
+    assert any(g[1] for g in got.values())
