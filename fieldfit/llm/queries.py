@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldfit.llm import backoff, blob_ledger, block_naming, chat_format, language, mih, packing, periodic_runs, sentence_pieces, simhash, text_density, token_counts
+from fieldfit.llm import backoff, blob_ledger, block_naming, chat_format, language, mih, packing, periodic_runs, sentence_pieces, simhash, spelling, text_density, token_counts
 from fieldfit.llm.common import table
 from fieldfit.session import tune
 
@@ -76,7 +76,12 @@ def op12_basic_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.report(table(tune(spark), sf_dir, "documents"))
 
 
+def op13_trie_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of ``documents``."""
+    return spelling.report(table(tune(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_multi_index_hashing, op2_text_density, op3_language_crf, op4_block_naming, op5_token_transducer, op6_bin_completion, op7_streaming_viterbi, op8_simhash, op9_stupid_backoff, op10_blob_ledger, op11_event_sourced_chat, op12_basic_factors)
+    f.__name__: f for f in (op1_multi_index_hashing, op2_text_density, op3_language_crf, op4_block_naming, op5_token_transducer, op6_bin_completion, op7_streaming_viterbi, op8_simhash, op9_stupid_backoff, op10_blob_ledger, op11_event_sourced_chat, op12_basic_factors, op13_trie_frontier)
 }
 SQL: dict[str, str] = {"op4_block_naming": block_naming.SQL, "op10_blob_ledger": blob_ledger.SQL, "op11_event_sourced_chat": chat_format.SQL}
