@@ -970,14 +970,15 @@ def stamped_rows(s: Sample) -> DataFrame:
 # --- dashboard ---------------------------------------------------------------------------------------
 
 def dash(s: Sample) -> DataFrame:
+    """The dashboard over the snapshots it is given, those keyed by ticket bucketed by ticket."""
     return dashboard.dashboard(
-        s.tickets_sync(),
+        s.kept("tickets_sync", "ticket_id"),
         s.members(),
         dashboard.latest_score(s.scores()),
-        s.kept("field"),
+        s.kept("field", "ticket_id"),
         completeness.completeness_by_deal(s.warehouse(), AS_OF, RULES),
-        s.pairs(),
-        s.checks(),
+        s.kept("pairs", "ticket_id"),
+        s.kept("notes", "ticket_id"),
         AS_OF_TS,
     )
 

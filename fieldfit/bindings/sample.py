@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from fieldfit.config import ACCESSORY_SKU_PREFIXES, ACCESSORY_SKUS, DEFAULT_RULES
 from fieldfit.functions import split_list
 from fieldfit.session import scratch_path
+from fieldfit.sources import write_bucketed
 from fieldfit.operators.esn import esn_validation
 from fieldfit.operators.relational import latest_per_key
 from fieldfit.operators.snapshots import stamp
@@ -27,6 +29,10 @@ def text(col) -> F.Column:
     return F.col(col).cast("string") if isinstance(col, str) else col.cast("string")
 
 
+# (application, folder, table, bucketed by) -> path, schema and catalog name of a kept table.
+KEPT: dict[tuple, tuple[str, T.StructType, str]] = {}
+
+
 def choose(col: str, cases: dict, default=None):
     out = F.lit(default)
     for key, value in reversed(list(cases.items())):
@@ -41,7 +47,6 @@ class Sample:
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
         self._schemas: dict[str, T.StructType] = {}
-        self._kept: dict[str, tuple[str, T.StructType]] = {}
 
     def table(self, name: str) -> DataFrame:
         """A sample table; its schema is read from the files only once.
@@ -54,17 +59,28 @@ class Sample:
             self._schemas[name] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(self._schemas[name]).parquet(path)
 
-    def kept(self, name: str) -> DataFrame:
-        """A derived table that a plan reads several times, written once as a warehouse would hold it.
+    def kept(self, name: str, bucketed_by: str | None = None) -> DataFrame:
+        """A derived input table as a warehouse holds it: written once per session, read by every query.
 
-        Every call gives a frame of its own, as for ``table``.
+        Only inputs and snapshots that the library is given are kept, no results.
+        With ``bucketed_by`` it is a table bucketed by that key. Every call gives a
+        frame of its own, as for ``table``.
         """
-        if name not in self._kept:
-            df, path = getattr(self, name)(), scratch_path(self.spark, name)
-            df.write.parquet(path)
-            self._kept[name] = path, df.schema
-        path, schema = self._kept[name]
-        return self.spark.read.schema(schema).parquet(path)
+        place = self.spark.sparkContext.applicationId, self.dir, name, bucketed_by
+        if place not in KEPT or not self._complete(KEPT[place][0]):
+            df, path, catalog = getattr(self, name)(), scratch_path(self.spark, name), f"kept_{name}_{uuid.uuid4().hex}"
+            if bucketed_by:
+                write_bucketed(df, catalog, bucketed_by, path)
+            else:
+                df.write.parquet(path)
+            KEPT[place] = path, df.schema, catalog
+        path, schema, catalog = KEPT[place]
+        return self.spark.table(catalog) if bucketed_by else self.spark.read.schema(schema).parquet(path)
+
+    def _complete(self, path: str) -> bool:
+        """Whether the files of a kept table are still there."""
+        done = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        return done.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
 
     # --- warehouse ---------------------------------------------------------
 
@@ -210,9 +226,9 @@ class Sample:
             self.associations(),
             self.groups(),
             self.kept("cube"),
-            self.deliveries(),
-            self.devices(),
-            self.finished(),
+            self.kept("deliveries"),
+            self.kept("devices"),
+            self.kept("finished"),
         )
 
     # --- score, notes, members ----------------------------------------------
@@ -346,7 +362,12 @@ class Sample:
         return stamp(built, AS_OF_TS)
 
     def pairs(self) -> DataFrame:
-        return esn_validation(self.kept("cube"), self.deliveries(), unique=True)
+        return esn_validation(self.kept("cube"), self.kept("deliveries"), unique=True)
+
+    def notes(self) -> DataFrame:
+        """Newest handling note per ticket, as its snapshot holds it."""
+        ties = [F.desc("status_tratativa"), F.desc("observacao")]
+        return latest_per_key(self.checks(), ["ticket_id"], [F.desc_nulls_first("updated_at")], ties)
 
     def serial_text(self) -> DataFrame:
         """Tickets with their parsed serial text."""

@@ -28,6 +28,7 @@ COMPANY = "associated_company_id"
 DEAL = "ticket_associated_deal_id"
 START = "data_inicio_assinatura"
 TYPE = "fin__config_tipo"
+REVENUE = "mrr_total_produto"  # summed where the lines have it
 COMPANY_COLUMNS = (
     "razao_social",
     "endereco_uf",
@@ -45,6 +46,30 @@ def with_company(lines: DataFrame, companies: DataFrame, status=ACTIVE_STATUS) -
     return lines.join(dim, COMPANY)
 
 
+def _product_class(rules: CompletenessRules):
+    """One product id for all that the rules treat alike; NULL for those they do not name."""
+    tracked, accessories = set(rules.product_ids), set(rules.accessory_product_ids)
+    out = F.lit(None).cast("string")
+    for ids in (tracked - accessories, accessories - tracked, tracked & accessories):
+        if ids:
+            out = F.when(F.col("product_id").isin(*sorted(ids)), min(ids)).otherwise(out)
+    return out
+
+
+def compact_lines(lines: DataFrame, rules: CompletenessRules) -> DataFrame:
+    """Lines with their quantities summed per company, deal, start, type and product class.
+
+    ``contract_grain``, ``downgraded_deals``, ``last_churn`` and ``first_sale`` give the
+    same for these rows as for the lines themselves, so one scan of the lines, already
+    reduced in its tasks, serves them all.
+    """
+    return (
+        lines.filter(F.col(TYPE).isin(*SALE_TYPES, *SWAP_TYPES, CHURN_TYPE))
+        .groupBy(COMPANY, DEAL, START, TYPE, _product_class(rules).alias("product_id"))
+        .agg(*[F.sum(c).alias(c) for c in ("quantidade_alterados", REVENUE) if c in lines.columns])
+    )
+
+
 def downgraded_deals(lines: DataFrame, rules: CompletenessRules) -> DataFrame:
     """Deals whose net accessory downgrade is positive."""
     return (
@@ -93,7 +118,7 @@ def contract_grain(lines: DataFrame, rules: CompletenessRules) -> DataFrame:
         wanted.groupBy(COMPANY, DEAL, START)
         .agg(
             F.sum(F.when(sale, F.col("quantidade_alterados")).otherwise(0)).alias("qtd_contratada_venda"),
-            F.sum(F.when(sale, F.col("mrr_total_produto")).otherwise(0)).alias("mrr_total"),
+            *[F.sum(F.when(sale, F.col(REVENUE)).otherwise(0)).alias("mrr_total")] * (REVENUE in lines.columns),
             F.bit_or(_class_bit()).alias("_classes"),
         )
         .filter((swaps == 0) | (swaps == mask))
@@ -118,20 +143,16 @@ def last_churn(lines: DataFrame) -> DataFrame:
 
 
 def first_sale(lines: DataFrame) -> DataFrame:
-    """First sale day on or after the last churn, per company, in one scan.
+    """First sale day on or after the last churn, per company, in one scan and one shuffle.
 
-    Lines are first reduced to one row per (company, day); the calendar then
+    Tasks reduce their lines to the different days of a company; the calendar
     bounds what is held per company, however many lines it has.
     """
-    churned = F.col(TYPE) == CHURN_TYPE
-    days = (
+    churned, day = F.col(TYPE) == CHURN_TYPE, F.col(START).cast("date")
+    facts = (
         lines.filter(F.col(TYPE).isin(CHURN_TYPE, *FIRST_SALE_TYPES))
-        .groupBy(COMPANY, F.col(START).cast("date").alias("day"))
-        .agg(F.max(churned).alias("churned"), F.max(~churned).alias("sold"))
-    )
-    facts = days.groupBy(COMPANY).agg(
-        F.max(F.when(F.col("churned"), F.col("day"))).alias("churn"),
-        F.collect_list(F.when(F.col("sold"), F.col("day"))).alias("days"),
+        .groupBy(COMPANY)
+        .agg(F.max(F.when(churned, day)).alias("churn"), F.collect_set(F.when(~churned, day)).alias("days"))
     )
     # A NULL company meets no churn row in an equi-join.
     since = F.when(F.col(COMPANY).isNotNull(), F.col("churn"))
@@ -172,15 +193,16 @@ def company_facts(
     """Per active company: attributes, first sale, group and the group's facts.
 
     Everything known per company is gathered first, on company-sized data, so
-    the contract rows need a single join by company.
+    the contract rows need a single join by company. A group's facts come from the
+    same rows: its members are the active companies with a first sale.
     """
-    sales = first_sale(lines)
-    facts = group_facts(active_group_members(associations, companies, sales), groups)
     active = where_in(companies, "status_da_empresa", ACTIVE_STATUS)
     own = active.select(F.col("id").alias(COMPANY), *[c for c in COMPANY_COLUMNS if c in companies.columns])
-    member_of = associations.select(F.col("id").alias(COMPANY), "grupo_economico_id").distinct()
-    known = own.join(sales, COMPANY, "left").join(member_of, COMPANY, "left")
-    return sparse_left_join(known, facts, "grupo_economico_id", [COMPANY])
+    # Rows of a company lie together before repeated ones go, so the join needs no shuffle more.
+    member_of = associations.select(F.col("id").alias(COMPANY), "grupo_economico_id").repartition(COMPANY).distinct()
+    known = own.join(first_sale(lines), COMPANY, "left").join(member_of, COMPANY, "left")
+    members = known.filter("grupo_economico_id is not null and data_primeira_venda_atual is not null")
+    return sparse_left_join(known, group_facts(members, groups), "grupo_economico_id", [COMPANY])
 
 
 def dedupe_deals(df: DataFrame) -> DataFrame:

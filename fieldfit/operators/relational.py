@@ -124,11 +124,15 @@ def not_in(df: DataFrame, sub: DataFrame, key: str) -> DataFrame:
     A marked left join stays where it is written and shares its neighbours'
     partitioning; an anti join would be pushed down to a shuffle of its own.
     """
-    facts = sub.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("nulls")).alias("f")).scalar()
     marked = key_set(sub.filter(F.col(key).isNotNull()), key).withColumn("_hit", F.lit(True))
     joined = sparse_left_join(df, marked, key, [c for c in df.columns if c != key] or [key])
-    outside = F.col("_hit").isNull() & F.col(key).isNotNull() & (facts["nulls"] == 0)
-    return joined.filter((facts["n"] == 0) | outside).drop("_hit").select(*df.columns)
+    return joined.filter(outside(sub, key, "_hit")).drop("_hit").select(*df.columns)
+
+
+def outside(sub: DataFrame, key: str, hit: str) -> Column:
+    """Condition of ``NOT IN`` for rows whose ``hit`` says that ``sub`` holds their key."""
+    facts = sub.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("nulls")).alias("f")).scalar()
+    return (facts["n"] == 0) | (F.col(hit).isNull() & F.col(key).isNotNull() & (facts["nulls"] == 0))
 
 
 # --- joins ----------------------------------------------------------------

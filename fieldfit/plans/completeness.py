@@ -26,13 +26,15 @@ from fieldfit.functions.measures import ONBOARDING, grade_3_floor
 from fieldfit.operators.contracts import (
     COMPANY,
     DEAL,
+    REVENUE,
     START,
+    compact_lines,
     company_facts,
     contract_grain,
     dedupe_deals,
     downgraded_deals,
 )
-from fieldfit.operators.relational import beside, not_in
+from fieldfit.operators.relational import beside, outside, sparse_left_join
 from fieldfit.operators.shipments import (
     dedupe_shipments,
     device_service,
@@ -42,6 +44,7 @@ from fieldfit.operators.shipments import (
     serial_service,
     shipments,
 )
+from fieldfit.session import stored
 
 PUBLISHED = (
     "deal_id",
@@ -76,14 +79,21 @@ def deal_base(w: Warehouse, as_of: dt.date, rules: CompletenessRules = DEFAULT_R
     """Contract rows with company, group, shipment, install and schedule facts.
 
     Every branch is aggregated to its own key before it is joined; no distinct
-    count over a joined fan-out is needed.
+    count over a joined fan-out is needed. The contract lines are scanned once: what
+    the branches need of them is stored per contract, type and product class, as
+    are the facts per company. All facts per deal, the mark of a downgraded deal
+    included, meet in one table, so the contract rows are shuffled by deal once.
     """
-    facts = company_facts(w.lines, w.companies, w.associations, w.groups)
-    rows = not_in(contract_grain(w.lines, rules).join(facts, COMPANY), downgraded_deals(w.lines, rules), DEAL)
+    lines = stored(compact_lines(w.lines.drop(REVENUE), rules), "contract-lines")
+    facts = stored(company_facts(lines, w.companies, w.associations, w.groups), "company-facts")
+    downgraded = stored(downgraded_deals(lines, rules), "downgraded-deals")
     serials = serial_service(
         dedupe_shipments(shipments(w.tickets, w.deliveries)), device_service(w.devices, w.finished)
     )
-    rows = rows.join(installs_by_deal(serials), DEAL, "left").join(scheduled(w.tickets), DEAL, "left")
+    marked = downgraded.filter(F.col(DEAL).isNotNull()).withColumn("_downgraded", F.lit(True))
+    per_deal = installs_by_deal(serials).join(scheduled(w.tickets), DEAL, "full_outer").join(marked, DEAL, "full_outer")
+    rows = sparse_left_join(contract_grain(lines, rules).join(facts, COMPANY), per_deal, DEAL, [COMPANY, START])
+    rows = rows.filter(outside(downgraded, DEAL, "_downgraded"))
     first_sale_day = F.coalesce("grupo_data_primeira_venda", "data_primeira_venda_atual")
     potential = F.coalesce("grupo_potencial", "potencial_total_da_empresa")
     return (
@@ -99,7 +109,7 @@ def deal_base(w: Warehouse, as_of: dt.date, rules: CompletenessRules = DEFAULT_R
         )
         .withColumn("time_segmento", segment(F.col("dias_1a_venda_grupo"), F.col("potencial"), rules))
         .withColumnsRenamed({DEAL: "deal_id", COMPANY: "company_id"})
-        .drop("service_days", "undated_installs")
+        .drop("service_days", "undated_installs", "_downgraded")
     )
 
 

@@ -19,6 +19,7 @@ from fieldfit.functions import bucket, days_open, is_stale, risk_status
 from fieldfit.operators.esn import esn_by_ticket
 from fieldfit.operators.relational import drop_in, latest_per_key, ordered, search, sparse_left_join
 from fieldfit.operators.tickets import field_main
+from fieldfit.session import stored
 
 COMPLETENESS_COLUMNS = {
     "time_segmento": "completude_time_segmento",
@@ -63,8 +64,10 @@ def dashboard(
 ) -> DataFrame:
     """One row per ticket with squad, score, visit, completeness, serials and note.
 
-    Ticket-keyed sides come last and share one partitioning by ticket. Owner,
-    company and deal of a ticket may be NULL and are joined accordingly.
+    Ticket-keyed sides come first: where tickets, field visits, serial pairs and
+    notes are tables bucketed by ticket (``sources.write_bucketed``), none of them
+    is shuffled. Owner, company and deal of a ticket may be NULL and are joined
+    accordingly.
     """
     squads = members.select(
         F.col("hubspot_owner_id").alias("owner_hubspot_id"), F.col("squad").alias("owner_squad")
@@ -73,12 +76,12 @@ def dashboard(
     visits = field_main(field, main_visit).select(
         "ticket_id", F.col("status").alias("field_status"), "prestador", "consultor", "data_agendada"
     )
-    out = sparse_left_join(tickets, squads, "owner_hubspot_id", ["ticket_id"])
-    out = sparse_left_join(out, scores.select("company_id", *SCORE_COLUMNS), "company_id", ["ticket_id"])
-    out = sparse_left_join(out, deals, "deal_id", ["ticket_id"])
-    out = out.join(visits, "ticket_id", "left")
+    out = tickets.join(visits, "ticket_id", "left")
     out = out.join(esn_by_ticket(pairs), "ticket_id", "left")
     out = out.join(latest_note(checks), "ticket_id", "left")
+    out = sparse_left_join(out, squads, "owner_hubspot_id", ["ticket_id"])
+    out = sparse_left_join(out, scores.select("company_id", *SCORE_COLUMNS), "company_id", ["ticket_id"])
+    out = sparse_left_join(out, deals, "deal_id", ["ticket_id"])
     return out.withColumns(
         {
             "dias_aberto": days_open(F.col("createdate"), as_of),
@@ -188,7 +191,8 @@ def percentile_values(
     between brackets as totals and keeps single values only inside a bracket: a
     few times rows / accuracy distinct values. A second sketch cuts those into
     slices; totals per slice, a bounded number, give the count before each slice,
-    and running counts are taken inside the slices only.
+    and running counts are taken inside the slices only. The counts are stored, so
+    the input is read twice and no more.
     """
     values = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("v"))
     margin = 5.0 / accuracy
@@ -206,9 +210,9 @@ def percentile_values(
         ],
     )
     below = F.size(F.filter("cuts", lambda c: c < F.col("v")))
-    counted = (
-        bounded.groupBy(below.alias("zone"), F.when(inside, F.col("v")).alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    counted = stored(
+        bounded.groupBy(below.alias("zone"), F.when(inside, F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("n")),
+        "value-counts",
     )
     inner = counted.agg(F.percentile_approx("v", [i / SLICES for i in range(1, SLICES)], 10 * SLICES)).scalar()
     sliced = counted.withColumn("inner", inner).select(

@@ -47,6 +47,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df, label: str):
+    """The rows of ``df`` as a table in the shared folder, read back.
+
+    Runs the query now. Later reads survive lost executors, and both inputs of a
+    later join are plain exchanges, which adaptive execution may split.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpointed(df):
     """Cut lineage through the shared folder; survives lost executors."""
     spark = df.sparkSession

@@ -1,3 +1,4 @@
+from fieldfit.sources.bucketed import write_bucketed
 from fieldfit.sources.payload import load_bundle, load_chunks, load_payload
 from fieldfit.sources.store import SnapshotStore
 from fieldfit.sources.tables import load_table, write_chunks
@@ -8,5 +9,6 @@ __all__ = [
     "load_chunks",
     "load_payload",
     "load_table",
+    "write_bucketed",
     "write_chunks",
 ]
