@@ -139,14 +139,30 @@ def published_version(s: Sample) -> DataFrame:
     return store.current("orders")
 
 
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_custkey END AS o_custkey,
+    CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority, o_totalprice FROM orders"""
+)
+def unknown_payload_fields(s: Sample) -> DataFrame:
+    """Fields that the schema does not name reach the upsert with a type."""
+    folder = scratch_path(s.spark, "chunks")
+    rows = s.table("orders").filter("o_orderstatus <> 'F'").select("o_orderkey", "o_custkey", "o_orderpriority")
+    write_chunks(rows, f"{folder}/orders-00.json", ["o_orderkey"], 1000)
+    base = s.table("orders").select("o_orderkey", "o_totalprice")
+    merged = snapshots.upsert(base, load_chunks(s.spark, folder, "orders", T.StructType(ORDER_SCHEMA.fields[:1])), ["o_orderkey"])
+    return merged.select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
+
+
 @query("SELECT * FROM v_upserted")
 def stream_merge(s: Sample) -> DataFrame:
-    _, folder = write_payload(s)
+    """Two streams, each with its own folder and checkpoint, into one table."""
     store = SnapshotStore(s.spark, scratch_path(s.spark, "store"))
-    store.publish(base_orders(s), "orders")
-    checkpoint = scratch_path(s.spark, "stream")
-    run = stream_upsert(s.spark, folder, store, "orders", ORDER_SCHEMA, ["o_orderkey"], checkpoint)
-    run.awaitTermination()
+    store.publish(base_orders(s), "orders", ["o_orderkey"])
+    for status in ("NO", "NP"):
+        folder = scratch_path(s.spark, "chunks")
+        write_chunks(new_orders(s).filter(F.col("o_orderstatus") == status), f"{folder}/orders-00.json", ["o_orderkey"], 1000)
+        run = stream_upsert(s.spark, folder, store, "orders", ORDER_SCHEMA, ["o_orderkey"], scratch_path(s.spark, "stream"))
+        run.awaitTermination()
     return store.current("orders")
 
 

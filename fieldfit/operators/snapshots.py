@@ -86,8 +86,12 @@ def stale_keys(base: DataFrame, current: DataFrame, key: str, min_rows: int = MI
 
 
 def replace_by_key(base: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """Drop the base rows of every key present in ``rows``, then add ``rows``."""
-    return drop_in(base, rows, key).unionByName(rows.select(*base.columns))
+    """Drop the base rows of every key present in ``rows``, then add ``rows``.
+
+    Columns of the base that ``rows`` lacks are NULL in them.
+    """
+    known = rows.select(*[c for c in rows.columns if c in base.columns])
+    return drop_in(base, rows, key).unionByName(known, allowMissingColumns=True)
 
 
 def _usable(updates: DataFrame, key: str, cols: list[str], skip: str) -> DataFrame:

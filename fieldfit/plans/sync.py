@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fieldfit.operators.snapshots import patch, remove_stale, replace_by_key, stamp, upsert
+from fieldfit.operators.snapshots import ARRIVAL, patch, remove_stale, replace_by_key, stamp, upsert
 from fieldfit.schemas import PAYLOAD, SNAPSHOTS
 from fieldfit.session import checkpointed
 from fieldfit.sources import SnapshotStore, load_payload
@@ -21,11 +23,17 @@ UPSERTS = {
 
 
 def snapshot(spark: SparkSession, store: SnapshotStore, table: str) -> DataFrame:
-    """Current version of a snapshot table, or an empty one."""
+    """Rows of a snapshot table, or an empty one."""
     current = store.current(table)
     return spark.createDataFrame([], SNAPSHOTS[table]) if current is None else current
 
 
+def with_columns(base: DataFrame, schema: T.StructType) -> DataFrame:
+    """``base`` with the columns of ``schema`` that it lacks, as NULL."""
+    lacking = [f for f in schema.fields if f.name not in base.columns]
+    return base.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking}) if lacking else base
+
+
 def merged_tickets(base: DataFrame, tickets: DataFrame, deal_ids: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Tickets upserted, those gone from a full payload removed, deals filled in."""
     merged = stamp(upsert(base, tickets, ["ticket_id"]), as_of)
@@ -34,31 +42,35 @@ def merged_tickets(base: DataFrame, tickets: DataFrame, deal_ids: DataFrame, as_
 
 
 def apply_payload(
-    spark: SparkSession, store: SnapshotStore, bundle: str, folder: str, as_of: dt.datetime
-) -> dict[str, int]:
-    """Merge bundle and chunk files into the store; published version per table.
+    spark: SparkSession, store: SnapshotStore, bundle: str, folder: str, as_of: dt.datetime, unknown: str = "add"
+) -> set[str]:
+    """Merge bundle and chunk files into the store; the names of the tables written.
+
+    Every file is parsed into the shared folder before anything is written: a damaged
+    one stops the run with the store untouched. A table without payload rows is left
+    as it is. A payload field that no schema knows becomes a column of the snapshot
+    (``unknown="raise"`` stops the run instead); rows that lack it hold NULL.
 
-    Every file is parsed once, into the shared folder, before anything is
-    published: a damaged one stops the run with the store untouched. A table
-    without payload rows is left as it is.
+    Only the partitions that the payload has keys of are read and written, but for
+    tickets, where a full payload removes those that it lacks.
     """
-    payload = {key: checkpointed(load_payload(spark, bundle, folder, key, PAYLOAD[key])) for key in PAYLOAD}
+    payload = {key: checkpointed(load_payload(spark, bundle, folder, key, PAYLOAD[key], unknown)) for key in PAYLOAD}
     filled = {key for key, rows in payload.items() if not rows.isEmpty()}
-    versions = {}
-
-    def publish(table: str, df: DataFrame) -> None:
-        versions[table] = store.publish(df.select(*SNAPSHOTS[table].names), table)
-
+    written = set()
     if filled & {"tickets", "ticket_deal_ids"}:
         base = snapshot(spark, store, "tickets_sync")
-        publish("tickets_sync", merged_tickets(base, payload["tickets"], payload["ticket_deal_ids"], as_of))
+        store.publish(merged_tickets(base, payload["tickets"], payload["ticket_deal_ids"], as_of), "tickets_sync", ["ticket_id"])
+        written.add("tickets_sync")
     for key, (table, keys) in UPSERTS.items():
         if key in filled:
-            publish(table, stamp(upsert(snapshot(spark, store, table), payload[key], keys), as_of))
+            rows, declared = payload[key], SNAPSHOTS[table]
+            store.rewrite(table, keys, rows, lambda base: stamp(upsert(with_columns(base, declared), rows, keys), as_of))
+            written.add(table)
     if "ticket_products" in filled:
-        rows = payload["ticket_products"].select(*SNAPSHOTS["ticket_products"].names)
-        publish("ticket_products", replace_by_key(snapshot(spark, store, "ticket_products"), rows, "ticket_id"))
+        rows = payload["ticket_products"].drop(*ARRIVAL)
+        store.rewrite("ticket_products", ["ticket_id"], rows, lambda base: replace_by_key(with_columns(base, rows.schema), rows, "ticket_id"))
+        written.add("ticket_products")
     if "team_members_updates" in filled:
-        members = snapshot(spark, store, "team_members")
-        publish("team_members", patch(members, payload["team_members_updates"], "email", ["hubspot_owner_id"]))
-    return versions
+        store.patch(payload["team_members_updates"], "team_members", "email", ["hubspot_owner_id"])
+        written.add("team_members")
+    return written

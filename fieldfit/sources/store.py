@@ -1,27 +1,32 @@
-"""Versioned Parquet snapshots: new version directory, then a commit record."""
+"""Snapshot tables: Parquet folders partitioned by a bucket of their keys."""
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldfit.operators.snapshots import ARRIVAL, upsert
+from fieldfit.operators.snapshots import ARRIVAL, patch, replace_by_key, upsert
+from fieldfit.session import stored
 
-COMMIT_SCHEMA = "version bigint, source string, keys array<string>, buckets int, replaced array<int>, written array<int>"
-BUCKET = "_bucket"
+BUCKET = "_bucket_"
 
 
 class SnapshotStore:
     """Snapshot tables of one writer below a root folder.
 
-    A reader sees the newest committed version; a version whose commit record
-    was never written is ignored and overwritten by the next publish.
+    A table lies in partitions by the hash of its keys. ``merge``, ``replace`` and
+    ``patch`` read only the partitions that the payload has keys of and write only
+    those again, by Spark's dynamic partition overwrite: a payload of k keys touches
+    at most k of ``buckets`` partitions. Written by other keys or another number of
+    buckets, or as a whole, a table is laid out anew by the first such call.
 
-    ``merge`` keeps a table in ``buckets`` by the hash of its keys. A later merge
-    reads and writes only the buckets its payload has keys of; the others stay
-    where older versions wrote them, and a commit lists which it replaced. With
-    more buckets a small payload touches less of the table.
+    Spark puts the new files in place when all tasks have succeeded; until then the
+    old ones stay. A payload applied again gives the same table. Frames from
+    ``current`` are to be read before the next write.
     """
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
@@ -29,88 +34,70 @@ class SnapshotStore:
         self.root = root.rstrip("/")
         self.buckets = buckets
 
-    def _commits(self, table: str) -> DataFrame | None:
+    def _path(self, table: str) -> str:
+        return f"{self.root}/{table}"
+
+    def _files(self, table: str) -> DataFrame | None:
+        """The table with its partition column; a column that older files lack is NULL there."""
         try:
-            return self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.root}/{table}/_commits_log")
+            return self.spark.read.option("mergeSchema", "true").parquet(self._path(table))
         except AnalysisException as error:
-            if (error.getCondition() or "").startswith("PATH_NOT_FOUND"):
+            if (error.getCondition() or "").split(".")[0] in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return None
             raise
 
-    def version(self, table: str) -> int | None:
-        commits = self._commits(table)
-        return None if commits is None else commits.agg(F.max("version")).first()[0]
+    def current(self, table: str) -> DataFrame | None:
+        """The table's rows; None if there is no table, or an empty one."""
+        df = self._files(table)
+        return None if df is None else df.drop(*[c for c in df.columns if c.startswith(BUCKET)])
 
-    def committed(self, table: str, source: str) -> bool:
-        """Whether a named source (such as one micro-batch) was already applied."""
-        commits = self._commits(table)
-        return commits is not None and not commits.filter(F.col("source") == source).isEmpty()
+    def _bucket(self, keys: list[str]) -> tuple[str, Column]:
+        """Name and value of the partition column; the name tells keys and number of buckets."""
+        name = f"{BUCKET}{self.buckets}_{zlib.crc32(','.join(keys).encode()):08x}"
+        return name, F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(self.buckets)).cast("int")
 
-    def _layout(self, table: str) -> tuple[list[str] | None, int, dict[int, int] | None, int] | None:
-        """Keys, bucket count, version per bucket and newest version; one small record per commit.
+    def publish(self, df: DataFrame, table: str, keys: list[str] | None = None) -> None:
+        """Replace the whole table; with ``keys`` in partitions of these.
 
-        A version published as a whole has no buckets.
+        The rows are computed into the shared folder first, so ``df`` may read the
+        table itself, and a failing query leaves it as it was.
         """
-        commits = self._commits(table)
-        records = [] if commits is None else sorted(commits.collect(), key=lambda r: r["version"])
-        if not records:
-            return None
-        keys, buckets, places = None, 0, None
-        for r in records:
-            if r["replaced"] is None:
-                keys, buckets, places = r["keys"], r["buckets"] or 0, None if r["keys"] is None else {}
-            if places is not None:
-                for b in r["replaced"] or ():
-                    places.pop(b, None)
-                places.update(dict.fromkeys(r["written"], r["version"]))
-        return keys, buckets, places, records[-1]["version"]
-
-    def current(self, table: str) -> DataFrame | None:
-        layout = self._layout(table)
-        if layout is None:
-            return None
-        _, _, places, version = layout
-        if places is None:
-            return self.spark.read.parquet(self._path(table, version))
-        return self._read(table, places, sorted(places))
-
-    def _read(self, table: str, places: dict[int, int], wanted: list[int]) -> DataFrame:
-        """The wanted buckets, each where its newest version is."""
-        paths = [f"{self._path(table, places[b])}/{BUCKET}={b}" for b in wanted]
-        return self.spark.read.option("mergeSchema", "true").parquet(*paths)
-
-    def publish(self, df: DataFrame, table: str, source: str = "") -> int:
-        """Write a whole new version and make it current; never touches the old one."""
-        version = (self.version(table) or 0) + 1
-        df.write.mode("overwrite").parquet(self._path(table, version))
-        return self._commit(table, (version, source, None, None, None, None))
-
-    def _commit(self, table: str, record: tuple) -> int:
-        self.spark.createDataFrame([record], COMMIT_SCHEMA).coalesce(1).write.mode("append").json(f"{self.root}/{table}/_commits_log")
-        return record[0]
-
-    def merge(self, updates: DataFrame, table: str, keys: list[str], source: str = "") -> int:
-        """Upsert into the current version (or into an empty table)."""
-        layout = self._layout(table)
-        version = 1 if layout is None else layout[3] + 1
-        bucketed = layout is not None and layout[0] == keys and layout[2] is not None
-        buckets = layout[1] if bucketed else self.buckets
-        bucket = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
-        touched = None
-        if bucketed:
-            # as many numbers as there are buckets at most
-            touched = sorted(r[0] for r in updates.select(bucket.alias(BUCKET)).distinct().collect())
-            present = [b for b in touched if b in layout[2]]
-            base = self._read(table, layout[2], present) if present else self.current(table).limit(0)
-        else:
-            base = self.current(table)
-            if base is None:
-                base = updates.select(*[c for c in updates.columns if c not in ARRIVAL]).limit(0)
-        merged = upsert(base, updates, keys).withColumn(BUCKET, bucket).hint("rebalance", BUCKET)
-        path = self._path(table, version)
-        merged.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
-        written = sorted(r[0] for r in self.spark.read.parquet(path).select(BUCKET).distinct().collect()) if touched != [] else []
-        return self._commit(table, (version, source, keys, buckets, touched, written))
-
-    def _path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v={version:08d}"
+        df = stored(df, f"staged-{table}")
+        writer = df.write
+        if keys:
+            name, value = self._bucket(keys)
+            writer = df.withColumn(name, value).hint("rebalance", name).write.partitionBy(name)
+        writer.mode("overwrite").parquet(self._path(table))
+
+    def rewrite(self, table: str, keys: list[str], payload: DataFrame, change: Callable[[DataFrame], DataFrame]) -> None:
+        """Apply ``change`` to the partitions that the keys of ``payload`` fall in.
+
+        ``change`` must leave rows of other keys alone and at least one row of every
+        touched partition.
+        """
+        name, value = self._bucket(keys)
+        base = self._files(table)
+        if base is None or name not in base.columns:
+            whole = self.current(table)
+            if whole is None:
+                whole = payload.select(*[c for c in payload.columns if c not in ARRIVAL]).limit(0)
+            return self.publish(change(whole), table, keys)
+        # as many numbers as there are buckets at most
+        touched = [r[0] for r in payload.select(value.alias(name)).distinct().collect()]
+        if touched:
+            changed = change(base.filter(F.col(name).isin(touched)).drop(name))
+            writer = changed.withColumn(name, value).hint("rebalance", name).write.mode("overwrite")
+            writer.option("partitionOverwriteMode", "dynamic").partitionBy(name).parquet(self._path(table))
+
+    def merge(self, updates: DataFrame, table: str, keys: list[str]) -> None:
+        """Upsert into the table (or into an empty one)."""
+        self.rewrite(table, keys, updates, lambda base: upsert(base, updates, keys))
+
+    def replace(self, rows: DataFrame, table: str, key: str) -> None:
+        """Replace the rows of every key present in ``rows``."""
+        self.rewrite(table, [key], rows, lambda base: replace_by_key(base, rows, key))
+
+    def patch(self, updates: DataFrame, table: str, key: str, cols: list[str], skip: str = "null") -> None:
+        """Update matched rows only; no table, no rows."""
+        if self._files(table) is not None:
+            self.rewrite(table, [key], updates, lambda base: patch(base, updates, key, cols, skip))

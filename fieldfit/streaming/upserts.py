@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from fieldfit.session import stored
 from fieldfit.sources.payload import read_chunk_files
 from fieldfit.sources.store import SnapshotStore
 
@@ -21,16 +22,16 @@ def stream_upsert(
 ):
     """Start a query that upserts every new ``<table>-*.json`` file's rows.
 
-    A micro-batch repeated after a failure finds its own commit and is
-    skipped, so every batch is applied once. The default trigger handles all
-    files present and stops.
+    An upsert applied again changes nothing, so a micro-batch repeated after a
+    failure needs no record of its own, and several streams, or one with a new
+    checkpoint, may follow each other into one table. A field that ``schema`` does
+    not know stops the stream. The default trigger handles all files present and
+    stops.
     """
-    rows = read_chunk_files(spark.readStream, folder, table, schema)
+    rows = read_chunk_files(spark.readStream, folder, table, schema, unknown="raise")
 
     def apply(batch, batch_id: int) -> None:
-        source = f"stream-{batch_id}"
-        if not store.committed(table, source):
-            store.merge(batch, table, keys, source)
+        store.merge(stored(batch, f"batch-{table}"), table, keys)
 
     return (
         rows.writeStream.foreachBatch(apply)

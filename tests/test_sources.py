@@ -54,23 +54,50 @@ def test_table_renames(spark, tmp_path, rows):
     assert rows(load_table(spark, str(tmp_path), "x", {"ours": "Stored_ID"})) == [(0,), (1,), (2,)]
 
 
-def test_store_versions(spark, tmp_path, frame, rows):
+def test_store_publish_and_merge(spark, tmp_path, frame, rows):
     store = SnapshotStore(spark, str(tmp_path / "store"))
-    assert store.current("t") is None and store.version("t") is None
-    assert store.merge(frame("k string, v bigint", ("a", 1)), "t", ["k"]) == 1
-    old = store.current("t")
-    assert store.merge(frame("k string, v bigint", ("a", 2), ("b", 3)), "t", ["k"]) == 2
+    assert store.current("t") is None
+    store.merge(frame("k string, v bigint", ("a", 1)), "t", ["k"])
+    store.merge(frame("k string, v bigint", ("a", 2), ("b", 3)), "t", ["k"])
     assert rows(store.current("t")) == [("a", 2), ("b", 3)]
-    assert rows(old) == [("a", 1)]
+    store.publish(store.current("t").withColumn("v", F.col("v") * 10), "t", ["k"])  # reads itself
+    assert rows(store.current("t")) == [("a", 20), ("b", 30)]
+    store.publish(frame("k string, v bigint", ("c", 4)), "t")
+    store.merge(frame("k string, v bigint", ("c", 5), ("d", 6)), "t", ["k"])
+    assert rows(store.current("t")) == [("c", 5), ("d", 6)]
+    # other keys or another number of buckets lay the table out anew
+    SnapshotStore(spark, str(tmp_path / "store"), buckets=3).merge(frame("k string, v bigint", ("c", 7)), "t", ["k"])
+    store.merge(frame("k string, v bigint", ("c", 7)), "t", ["k", "v"])
+    assert rows(store.current("t")) == [("c", 7), ("d", 6)]
+
+
+def test_a_failing_change_leaves_the_table(spark, tmp_path, frame, rows):
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    store.merge(frame("k string, v bigint", ("a", 1)), "t", ["k"])
+    broken = frame("k string, v bigint", ("a", 2)).withColumn("v", F.raise_error(F.lit("broken")).cast("bigint"))
+    for write in (lambda: store.merge(broken, "t", ["k"]), lambda: store.publish(broken, "t", ["k"])):
+        with pytest.raises(Exception, match="broken"):
+            write()
+        assert rows(store.current("t")) == [("a", 1)]
 
 
-def test_store_ignores_an_uncommitted_version(spark, tmp_path, frame, rows):
-    store = SnapshotStore(spark, str(tmp_path / "store"))
-    store.publish(frame("k string", ("a",)), "t")
-    frame("k string", ("broken",)).write.parquet(str(tmp_path / "store/t/v=00000002"))
-    assert rows(store.current("t")) == [("a",)]
-    assert store.publish(frame("k string", ("b",)), "t") == 2
-    assert rows(store.current("t")) == [("b",)]
+def test_replace_and_patch_touch_only_their_partitions(spark, tmp_path, frame, rows):
+    store = SnapshotStore(spark, str(tmp_path / "store"), buckets=8)
+    store.merge(spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit(0).alias("v")), "t", ["k"])
+    files = lambda: {f: f.stat().st_mtime_ns for f in (tmp_path / "store" / "t").rglob("*.parquet")}
+    before = files()
+    store.replace(frame("k string, v int", ("7", 9), ("7", 10)), "t", "k")
+    changed = {f.parent.name for f in files().items() ^ before.items() for f in f[:1]}
+    assert len(changed) == 1
+    before = files()
+    store.patch(frame("k string, v int", ("8", 5), ("unknown", 6)), "t", "k", ["v"])
+    changed = {f.parent.name for f in files().items() ^ before.items() for f in f[:1]}
+    assert 1 <= len(changed) <= 2
+    assert rows(store.current("t").filter("v > 0")) == [("7", 10), ("7", 9), ("8", 5)] and store.current("t").count() == 101
+    base = spark.read.parquet(str(tmp_path / "store" / "t"))
+    name = next(c for c in base.columns if c.startswith("_bucket_"))
+    plan = base.filter(F.col(name).isin([1, 2]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and name in plan.split("PartitionFilters")[1]
 
 
 def run_stream(spark, tmp_path, store):
@@ -86,20 +113,37 @@ def test_stream_applies_new_files_once(spark, tmp_path, rows):
     run_stream(spark, tmp_path, store)
     assert rows(store.current("t")) == [("a", 2), ("b", 3)]
     run_stream(spark, tmp_path, store)
-    assert store.version("t") == 1
     dump(tmp_path / "in" / "t-01.json", [{"k": "b", "v": None}, {"k": "c", "v": 4}])
     run_stream(spark, tmp_path, store)
     assert rows(store.current("t")) == [("a", 2), ("b", None), ("c", 4)]
-    assert store.version("t") == 2
 
 
-def test_stream_skips_a_batch_that_was_already_committed(spark, tmp_path, frame, rows):
-    (tmp_path / "in").mkdir()
+def test_two_streams_and_a_new_checkpoint_on_one_table(spark, tmp_path, rows):
     store = SnapshotStore(spark, str(tmp_path / "store"))
-    store.publish(frame("k string, v bigint", ("a", 1)), "t", "stream-0")
-    dump(tmp_path / "in" / "t-00.json", [{"k": "a", "v": 9}])
-    run_stream(spark, tmp_path, store)
-    assert rows(store.current("t")) == [("a", 1)]
+    for name, key in (("x", "x0"), ("y", "y0")):
+        (tmp_path / name).mkdir()
+        dump(tmp_path / name / "t-00.json", [{"k": key, "v": 1}])
+        stream_upsert(spark, str(tmp_path / name), store, "t", SCHEMA, ["k"], str(tmp_path / f"checkpoint-{name}")).awaitTermination()
+    assert rows(store.current("t")) == [("x0", 1), ("y0", 1)]
+    dump(tmp_path / "x" / "t-01.json", [{"k": "x1", "v": 2}])
+    stream_upsert(spark, str(tmp_path / "x"), store, "t", SCHEMA, ["k"], str(tmp_path / "fresh")).awaitTermination()
+    assert rows(store.current("t")) == [("x0", 1), ("x1", 2), ("y0", 1)]
+
+
+def test_unknown_fields(spark, tmp_path, frame, rows):
+    dump(tmp_path / "latest.json", {"t": [{"k": "a", "size": 2}]})
+    dump(tmp_path / "t-00.json", [{"k": "a", "v": 1, "size": 1.5, "new": {"x": [1]}}, {"k": "b", "flag": True, "gone": None}])
+    dump(tmp_path / "t-01.json", [{"k": "c", "flag": "yes"}])
+    load = lambda **how: load_payload(spark, str(tmp_path / "latest.json"), str(tmp_path), "t", SCHEMA, **how)
+    got = load()
+    assert dict(got.dtypes) | {"size": "double", "flag": "string", "gone": "string", "new": "struct<x:array<bigint>>"} == dict(got.dtypes)
+    merged = upsert(frame("k string, v bigint", ("a", 0), ("z", 5)), got, ["k"])
+    assert rows(merged, "k", "v", "size", "flag", "new.x") == [
+        ("a", 1, 1.5, None, [1]), ("b", None, None, "true", None), ("c", None, None, "yes", None), ("z", 5, None, None, None)
+    ]
+    assert "size" not in load(unknown="drop").columns
+    with pytest.raises(Exception, match="fields no schema knows: size"):
+        load(unknown="raise").collect()
 
 
 def test_every_object_speaks_for_itself(spark, tmp_path, frame, rows):
@@ -130,22 +174,15 @@ def test_damaged_files_stop_the_job(spark, tmp_path, text):
         load_bundle(spark, str(tmp_path / "latest.json"), "t", SCHEMA).collect()
 
 
-def test_merge_leaves_untouched_buckets_in_place(spark, tmp_path, frame, rows):
+def test_merge_leaves_untouched_partitions_in_place(spark, tmp_path, frame, rows):
     store = SnapshotStore(spark, str(tmp_path / "store"), buckets=8)
     store.merge(spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit(0).alias("v")), "t", ["k"])
-    before = {f for f in (tmp_path / "store" / "t").rglob("*.parquet")}
-    assert store.merge(frame("k string, v int", ("7", 9)), "t", ["k"]) == 2
-    new = {f for f in (tmp_path / "store" / "t").rglob("*.parquet")} - before
-    assert {f.parent.parent.name for f in new} == {"v=00000002"} and len({f.parent.name for f in new}) == 1
+    before = set((tmp_path / "store" / "t").rglob("*.parquet"))
+    store.merge(frame("k string, v int", ("7", 9)), "t", ["k"])
+    new = set((tmp_path / "store" / "t").rglob("*.parquet")) - before
+    assert len({f.parent.name for f in new}) == 1 and len({f.parent.name for f in before - set((tmp_path / "store" / "t").rglob("*.parquet"))}) == 1
     assert rows(store.current("t").filter("v = 9")) == [("7", 9)] and store.current("t").count() == 100
-    # only the one bucket is read from the new version
-    used = store.current("t").inputFiles()
-    assert sum("v=00000002" in f for f in used) >= 1 and len({f.split("/_bucket=")[1].split("/")[0] for f in used}) == 8
     # an empty payload and a new column
-    assert store.merge(frame("k string, v int", ("7", 9)).limit(0), "t", ["k"]) == 3
+    store.merge(frame("k string, v int", ("7", 9)).limit(0), "t", ["k"])
     store.merge(frame("k string, w int", ("7", 1), ("new", 2)), "t", ["k"])
     assert rows(store.current("t").filter("w is not null"), "k", "v", "w") == [("7", 9, 1), ("new", None, 2)]
-    store.publish(frame("k string", ("only",)), "t")
-    assert rows(store.current("t")) == [("only",)]
-    store.merge(frame("k string", ("more",)), "t", ["k"])
-    assert rows(store.current("t")) == [("more",), ("only",)]

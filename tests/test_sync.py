@@ -54,3 +54,13 @@ def test_two_synchronisations(spark, tmp_path, frame, rows):
     assert tickets.count() == 60 and tickets.filter("ticket_id = '1'").isEmpty()
     assert tickets.select("synced_at").distinct().count() == 2
     assert rows(store.current("ticket_products")) == [("1", "S", 1)]
+
+    # A field that no schema knows becomes a column, in tickets as in other tables.
+    sync("four", {"completude_instalacao": [{"deal_id": "d2", "obra": 3}], "tickets": [{"ticket_id": "10", "obra": "x"}], "ticket_products": [{"ticket_id": "2", "obra": 1}]}, SECOND)
+    assert rows(store.current("completude_instalacao_snapshot"), "deal_id", "nota_instalacao", "obra") == [("d1", 4, None), ("d2", None, 3)]
+    assert rows(store.current("tickets_sync").filter("obra is not null"), "ticket_id", "obra") == [("10", "x")]
+    assert rows(store.current("ticket_products"), "ticket_id", "product_label", "obra") == [("1", "S", None), ("2", None, 1)]
+    assert store.current("tickets_sync").count() == 60
+    # and stays when later payloads lack it
+    sync("five", {"completude_instalacao": [{"deal_id": "d2", "nota_instalacao": 1}, {"deal_id": "d3"}]}, SECOND)
+    assert rows(store.current("completude_instalacao_snapshot"), "deal_id", "nota_instalacao", "obra") == [("d1", 4, None), ("d2", 1, 3), ("d3", None, None)]
