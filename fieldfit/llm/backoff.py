@@ -121,9 +121,15 @@ def log_scores(documents: list[np.ndarray], table: dict[str, np.ndarray], order:
     if not len(gram):
         return np.zeros(len(documents))
     at = np.searchsorted(table["gram"], gram)
+    packed = len(documents) >> (62 - ID_BITS * order) == 0  # document and n-gram fit one integer
 
     def own(part: np.ndarray) -> np.ndarray:
-        _, which, times = np.unique(where << ID_BITS * order | part, return_inverse=True, return_counts=True)
+        if packed:
+            pair = where << ID_BITS * order | part
+        else:
+            different, number = np.unique(part, return_inverse=True)
+            pair = where * len(different) + number
+        _, which, times = np.unique(pair, return_inverse=True, return_counts=True)
         return times[which]
 
     sizes = np.array([len(d) for d in documents])

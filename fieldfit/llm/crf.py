@@ -8,10 +8,10 @@ texts at once, one step per word position.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
+import regex
 
 ORDERS = (2, 3, 4)
 BITS = 17
@@ -19,7 +19,8 @@ GRAM_ROUNDS, CHAIN_ROUNDS = 30, 15
 RATE, SHRINK = 0.4, 1e-3
 WINDOW = 64
 
-words_of = re.compile(r"[^\W\d_]+").findall
+# Letters with their combining marks; number characters such as Roman numerals are no letters.
+words_of = regex.compile(r"\p{M}*+\p{L}[\p{L}\p{M}]*+").findall
 
 
 class Numbers(dict):

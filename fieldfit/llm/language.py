@@ -31,7 +31,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")
     )
     sample = (
-        rows.where("lang is not null and text rlike '[a-zA-Z\\\\p{L}]'")
+        rows.where("lang is not null and text rlike '\\\\p{L}'")
         .withColumn("nth", F.row_number().over(lowest))
         .where(F.col("nth") <= per_language)
         .select("lang", "text")

@@ -56,7 +56,7 @@ class Coder:
         """On the unit sphere, with one more coordinate that evens out the norms."""
         norms = np.linalg.norm(vectors, axis=1, keepdims=True)
         if query:
-            return np.hstack([vectors / norms, np.zeros_like(norms)])
+            return np.hstack([vectors / np.where(norms > 0, norms, 1), np.zeros_like(norms)])
         return np.hstack([vectors / self.largest, np.sqrt(np.maximum(0.0, 1.0 - (norms / self.largest) ** 2))])
 
     def codes(self, vectors: np.ndarray, query: bool = False) -> np.ndarray:
@@ -179,9 +179,13 @@ def neighbours(
     if not sizes:
         return spark.createDataFrame([], result)
     queries = stored(distinct.join(asking.select("entry").distinct(), "entry", "left_semi").select("entry", "v"), "queries")
-    facts = distinct.agg(F.count(F.lit(1)).alias("n"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).alias("m")).first()
+    # Codes depend on directions and relative lengths only: with components of 1 at
+    # most no square or norm overflows.
+    unit = distinct.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0]
+    norm = F.sqrt(F.aggregate(F.transform("v", lambda x: x / unit), F.lit(0.0), lambda a, x: a + x * x))
+    facts = distinct.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("m")).first()
     sample = distinct.orderBy(F.xxhash64("v"), "entry").limit(FIT_ROWS).select("v").collect()
-    coder = learn(np.array([r["v"] for r in sample]), facts["m"], nearest=nearest)
+    coder = learn(np.array([r["v"] for r in sample]) / unit, facts["m"], nearest=nearest)
     blocks = -(-facts["n"] // index_block)
     asked = -(-queries.count() // query_block)
 
@@ -190,7 +194,7 @@ def neighbours(
             for batch in batches:
                 if len(batch):
                     m = np.stack(batch["v"].to_numpy(zero_copy_only=False))
-                    code = [bytes(c) for c in coder.codes(m, query)]
+                    code = [bytes(c) for c in coder.codes(m / unit, query)]
                     yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(code, pa.binary())], [*batch.schema.names, "code"])
 
         return run

@@ -14,9 +14,12 @@ into stretches of blank marks with what follows; those met before are looked up.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -37,6 +40,12 @@ BATCH_CHARS = 2_000_000
 stretches = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
 
 
+def little_endian(ids: array) -> bytes:
+    if sys.byteorder == "big":
+        ids.byteswap()
+    return ids.tobytes()
+
+
 class Pieces:
     """Vocabulary of a model file with byte fallback, as the lattice needs it."""
 
@@ -67,71 +76,77 @@ class Pieces:
     def forget(self) -> None:
         """Drop the remembered steps of the search."""
         # A state: per position that a longer token could begin at, the symbols
-        # since and the token before; the present position last.
+        # since and the token before; the present position last. Its steps by symbol:
+        # (steps of the next state, its number, length and id of the token that ends
+        # there, whether no other position stays open).
         self.states: list[tuple] = [(("", None),)]
         self.number = {self.states[0]: 0}
-        self.steps: dict[tuple[int, str], tuple[int, str, bool]] = {}
+        self.steps: list[dict[str, tuple]] = [{}]
 
-    def step(self, state: int, symbol: str) -> tuple[int, str, bool]:
-        """Next state, the token that ends here, and whether no other position stays open."""
+    def step(self, state: int, symbol: str) -> tuple:
+        """Compile the step from a state over a symbol that is a token."""
         lattice, last, still = self.lattice, None, []
+        tokens, prefixes = lattice.tokens, lattice.prefixes
         for since, before in self.states[state]:
             token = since + symbol
-            if last is None and token in lattice.tokens and lattice.follows(before, token):
+            if last is None and token in tokens and lattice.follows(before, token):
                 last = token
-            if token in lattice.prefixes:
+            if token in prefixes:
                 still.append((token, before))
         key = (*still, ("", last))
         to = self.number.get(key)
         if to is None:
             to = self.number[key] = len(self.states)
             self.states.append(key)
-        found = self.steps[state, symbol] = to, last, not still
+            self.steps.append({})
+        found = self.steps[state][symbol] = self.steps[to], to, len(last), self.ids[last], not still
         return found
 
-    def stream(self, symbols: Iterator[str]) -> Iterator[int]:
+    def stream(self, symbols: Iterator[str]) -> Iterator[list[int]]:
         """Ids of a stream of symbols, given out as soon as they are settled."""
         if len(self.states) > REMEMBERED_STATES:
             self.forget()
-        tokens, steps = self.lattice.tokens, self.steps
-        paths: dict[int, tuple[int, str]] = {}  # position: (where its last token begins, token), unsettled ones only
-        settled = at = state = 0
+        state, steps = 0, self.steps[0]
+        open_: list[tuple] = []  # the step into each position that is not settled: its backpointer
         for symbol in symbols:
-            if symbol not in tokens:  # no piece: its bytes, and nothing reaches across
-                yield from self.path(paths, settled, at)
-                yield from (self.byte_ids[b] for b in symbol.encode("utf-8", "surrogatepass"))
-                at += 1
-                settled, paths, state = at, {}, 0
-                continue
-            at += 1
-            state, token, alone = steps.get((state, symbol)) or self.step(state, symbol)
-            paths[at] = at - len(token), token
+            found = steps.get(symbol)
+            if found is None:
+                if symbol not in self.lattice.tokens:  # no piece: its bytes, and nothing reaches across
+                    yield self.path(open_, len(open_))
+                    yield [self.byte_ids[b] for b in symbol.encode("utf-8", "surrogatepass")]
+                    state, steps, open_ = 0, self.steps[0], []
+                    continue
+                found = self.step(state, symbol)
+            steps, state, _, token, alone = found
+            open_.append(found)
             if alone:  # only this position is left
-                yield from self.path(paths, settled, at)
-                settled, paths = at, {}
-            elif len(paths) >= SETTLE_EVERY:
-                meet = self.meeting(paths, [at - len(since) for since, _ in self.states[state]], settled)
-                if meet > settled:
-                    yield from self.path(paths, settled, meet)
-                    settled, paths = meet, {p: v for p, v in paths.items() if p > meet}
-        yield from self.path(paths, settled, at)
-
-    def path(self, paths: dict, start: int, end: int) -> list[int]:
-        """Ids of the tokens from one boundary to another."""
+                yield [token] if len(open_) == 1 else self.path(open_, len(open_))
+                open_ = []
+            elif len(open_) % SETTLE_EVERY == 0:
+                meet = self.meeting(open_, [len(open_) - len(since) for since, _ in self.states[state]])
+                if meet:
+                    yield self.path(open_, meet)
+                    open_ = open_[meet:]
+        yield self.path(open_, len(open_))
+
+    @staticmethod
+    def path(open_: list[tuple], end: int) -> list[int]:
+        """Ids of the tokens from the settled boundary to another one."""
         out = []
-        while end > start:
-            end, token = paths[end]
-            out.append(self.ids[token])
+        while end > 0:
+            _, _, length, token, _ = open_[end - 1]
+            out.append(token)
+            end -= length
         return out[::-1]
 
     @staticmethod
-    def meeting(paths: dict, ends: list[int], settled: int) -> int:
+    def meeting(open_: list[tuple], ends: list[int]) -> int:
         """The last boundary that the paths to all ``ends`` run through."""
         ends = set(ends)
         while len(ends) > 1:
             last = max(ends)
             ends.remove(last)
-            ends.add(paths[last][0] if last > settled else settled)
+            ends.add(last - open_[last - 1][2] if last > 0 else 0)
         return ends.pop()
 
     def encode(self, text: str | None) -> bytes:
@@ -142,7 +157,7 @@ class Pieces:
         for s in stretches(MARK + text.replace(" ", MARK)):
             ids = known.get(s)
             if ids is None:
-                ids = np.fromiter(self.stream(iter(s)), "<u4").tobytes()
+                ids = little_endian(array("I", chain.from_iterable(self.stream(s))))
                 if len(known) >= CACHED_STRETCHES:
                     known.clear()
                 if len(s) <= 64:
@@ -242,7 +257,8 @@ def round_trips(docs: DataFrame, key: str = "doc_id", text: str = "text", model:
     The text is encoded and its ids are decoded in one pass. ``ids_crc32`` is over
     the ids as little-endian unsigned 32-bit integers; ``same`` tells whether the
     decoded text is the text (NULL counts as empty; a text with the blank mark
-    itself decodes to blanks).
+    itself decodes to blanks). NULL and repeated keys keep their rows; other columns
+    may have any name; an empty table gives an empty result.
     """
     kind = docs.schema[key].dataType.simpleString()
 

@@ -8,7 +8,8 @@ node up to the body, the subtree with the largest density sum is the main text.
 
 Parts that by element, role or class name are no article text (menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) are
-set aside before the densities are taken, and so are blocks made of links.
+set aside before the densities are taken, and so are blocks made of links outside of
+an article or main element.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ BLOCK = {
     "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "li", "main", "ol", "p", "pre", "section", "summary",
     "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 } | ASIDE
+LETTERS = frozenset("abcdefghijklmnopqrstuvwxyz")
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 MARKED = re.compile(
     r"(?:^|[^a-z])(?:ads?|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promotion|banner|cookie|cookies|consent|gdpr"
@@ -40,6 +42,10 @@ MARKED = re.compile(
     r"|sidebar|side|aside|complementary|related|recommended|recommendations|share|sharing|social|comment|comments|disqus|reply|replies"
     r"|respond|responses|footer|masthead|contentinfo|header|pagination|pager|toolbar|widget|search|skip|tags|outbrain|taboola)(?:$|[^a-z])"
 )
+# Of these, names that parts of an article have as well: inside one they count only
+# where they are the whole name of a container.
+ORDINARY = {"side", "search", "tags", "header", "share", "sharing", "related", "alert", "skip", "widget", "reply", "respond", "responses"}
+TEXT_TAGS = HEADINGS | {"p", "li", "dt", "dd", "td", "th", "blockquote", "pre", "figure", "figcaption"}
 # An end tag that is missing is supplied where one of these starts.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -58,7 +64,7 @@ LINK_COUNT = 2  # ... if it has this many links
 class Node:
     """An element: its parts in page order are nodes and strings."""
 
-    __slots__ = ("tag", "parts", "aside", "chars", "link_chars", "tags", "link_tags", "density", "total", "parent")
+    __slots__ = ("tag", "parts", "aside", "chars", "link_chars", "tags", "link_tags", "density", "total", "parent", "within")
 
     def __init__(self, tag: str, parent: Node | None, aside: bool = False):
         self.tag, self.parent, self.aside, self.parts = tag, parent, aside, []
@@ -73,12 +79,23 @@ def boilerplate(tag: str, attributes: str, within: list[Node]) -> bool:
     if attributes and tag not in ("html", "body", "article", "main"):
         if HIDDEN.search(attributes):
             return True
+        inside = any(n.tag in ("article", "main") for n in within)
         for _, *value in NAMES.findall(attributes):
-            if MARKED.search("".join(value).lower()):
-                return True
+            for name in "".join(value).lower().split():
+                found = set(marked(name))
+                if found - ORDINARY or found and not inside or name in ORDINARY - {"header"} and tag not in TEXT_TAGS:
+                    return True
     return False
 
 
+def marked(name: str) -> Iterator[str]:
+    """The marking words of a class, id or role."""
+    at = 0
+    while m := MARKED.search(name, at):
+        yield re.sub("[^a-z]", "", m[0])
+        at = m.end() - (m[0][-1] not in LETTERS)  # the sign between two words belongs to both
+
+
 def parse(html: str) -> Node:
     """The tree of a page; missing end tags are supplied as browsers do for the usual cases."""
     root = Node("html", None)
@@ -186,9 +203,11 @@ def select(root: Node) -> Node | None:
     """The subtree with the main text."""
     nodes = in_order(root)
     measure(nodes)
-    # Menus without a telling name: blocks of several links and little else.
+    # Menus without a telling name: blocks of several links and little else. In an
+    # article such a block is text, such as a list of references.
     for n in nodes:
-        if n.tag in BLOCK and n.tag not in ("html", "body", "article", "main") and n.link_tags >= LINK_COUNT and n.link_chars > LINK_SHARE * n.chars:
+        n.within = n.tag in ("article", "main") or n.parent is not None and n.parent.within
+        if n.tag in BLOCK and not n.within and n.tag not in ("html", "body", "article", "main") and n.link_tags >= LINK_COUNT and n.link_chars > LINK_SHARE * n.chars:
             n.aside = True
     nodes = in_order(root)
     measure(nodes)

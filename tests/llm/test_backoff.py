@@ -4,12 +4,13 @@ import math
 from collections import Counter
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 from conftest import SF
-from fieldfit.llm.backoff import scores
+from fieldfit.llm.backoff import grams_of, log_scores, scores
 
 
 def brute(texts, order, alpha=0.4):
@@ -68,3 +69,15 @@ def test_whole_table(spark):
     assert len(got) == len(rows)
     for (i, _), (n, s) in zip(rows, want):
         assert got[i][0] == n and got[i][1] == pytest.approx(s, rel=1e-9, abs=1e-6)
+
+
+def test_order_3_tells_documents_apart_in_large_slices():
+    one = np.array([5, 6, 7, 5, 6], "<u2")
+    for n in (3, 65_537):
+        documents = [one, *[np.array([9], "<u2")] * (n - 2), one]
+        grams = np.unique(grams_of(documents, 3)[0])
+        table = {c: np.full(len(grams), 1000) for c in ("all1", "all2", "all3", "history2", "history3")} | {"gram": grams}
+        got = log_scores(documents, table, 3, 0.4, 10**6)
+        assert got[0] == got[-1] and (got[1:-1] == got[1]).all()
+        # copies must not share their own counts: the first document alone scores the same
+        assert got[0] == log_scores([one], table, 3, 0.4, 10**6)[0]

@@ -8,7 +8,8 @@ import numpy as np
 
 from conftest import SF
 from fieldfit.llm.crf import forward_backward, word_features
-from fieldfit.llm.language import languages, slices
+from fieldfit.llm.crf import words_of
+from fieldfit.llm.language import fit, label, languages, slices
 
 
 def test_marginals_equal_enumeration_of_all_labelings():
@@ -67,3 +68,10 @@ def test_odd_rows(spark):
     assert sorted(r.lang_pred for r in out if r.doc_id == 7)[-1] == "und"
     assert languages(df.where("false")).count() == 0
     assert {r.lang_pred for r in languages(df.where("lang is null")).collect()} == {"und"}
+
+
+def test_number_characters_are_no_letters_and_marks_do_not_split_words():
+    model = fit(["the cat and the dog"] * 9 + ["die katze und der hund"] * 9, ["en"] * 9 + ["de"] * 9)
+    names, scores = label(["½ ² 3", "Ⅷ ①", "\u0301\u0302", "_ 9", None, "the dog"], model)
+    assert names == ["und"] * 5 + ["en"] and scores[:5].tolist() == [0.0] * 5
+    assert words_of("ca\u0301t e\u0301te\u0301 x2y ½z") == ["ca\u0301t", "e\u0301te\u0301", "x", "y", "z"]

@@ -69,3 +69,16 @@ def test_copies_ties_and_odd_rows(spark):
     assert neighbours(df.where("false")).count() == 0
     one = neighbours(df.where("vec_id = 100")).count()
     assert one == 0
+
+
+def test_vectors_of_any_size(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(40, 6)).tolist())]
+    for odd in (1e200, 1e-200, 5e-324):
+        mixed = [*rows, (100, [odd] + [0.0] * 5)]
+        got = neighbours(spark.createDataFrame(mixed, "vec_id bigint, embedding array<double>")).collect()
+        assert {r.query_id for r in got} == {0, 20, 100}
+        assert recall(got, brute(mixed, 20, 20)) > 0.5
+    small = [(i, [x * 1e-200 for x in v]) for i, v in rows]
+    got = neighbours(spark.createDataFrame(small, "vec_id bigint, embedding array<double>")).collect()
+    assert len(got) == 40

@@ -25,6 +25,9 @@ SHAPES = {
     "no tags": ("just words", "just words"),
     "empty": ("", ""),
     "only menu": ("<nav><a href=x>x</a></nav>", ""),
+    "links in an article": (f"<article><p>{P}</p><p>See <a href=1>Alpha study</a> and <a href=2>Beta study</a></p><ul><li><a href=3>Gamma</a><li><a href=4>Delta</a></ul></article>", f"{P} See Alpha study and Beta study Gamma Delta"),
+    "ordinary names": (f"<article><div class='section-header'><h2>H</h2></div><p class='alert'>{P}</p><div class='side-by-side'><p>{P}</p></div><div class='share'>Share</div><div class='related-posts promo'>x</div><div class='tags'>y</div></article>", f"H {P} {P}"),
+    "names outside": (f"<body><div class='section-header'>Site</div><div class='search-box'>Find</div><div id=c><p>{P}</p><p>{P}</p></div>", f"{P} {P}"),
     "hidden": (f"<article><p>{P}</p><p hidden>x</p><p style='display:none'>y</p></article>", P),
 }
 
