@@ -75,25 +75,25 @@ def folded(
     """
     c = {name: F.col(f"`{of}`") for name, of in dict(conv=conv, message=message, seq=seq, kind=kind, role=role, text=text).items()}
     known = F.when(c["kind"].isin(*KINDS), c["kind"]).otherwise(F.raise_error(F.concat(F.lit("unknown kind of event: "), F.coalesce(c["kind"], F.lit("NULL")))))
-    log = events.select(c["conv"].alias("conv"), c["message"].alias("message"), c["seq"].alias("seq"), known.alias("kind"), c["role"].alias("role"), c["text"].alias("text"))
+    # One key, never NULL itself: the join and the aggregation after it share their shuffle.
+    of = F.struct(c["conv"].alias("conv"), c["message"].alias("message")).alias("of")
+    log = events.select(of, c["seq"].alias("seq"), known.alias("kind"), c["role"].alias("role"), c["text"].alias("text"))
     anew = F.col("kind").isin(*ANEW)
     begins = F.col("kind") == "message"
     last = stored(
-        log.groupBy("conv", "message").agg(
+        log.groupBy("of").agg(
             F.max(F.when(anew, F.struct("seq"))).alias("since"),
             F.max(F.when(begins, F.struct(F.struct("seq"), F.coalesce("role", F.lit("")).alias("role"))))["role"].alias("role"),
         ),
         "last-resets",
-    ).withColumnsRenamed({"conv": "_conv", "message": "_message", "role": "_role"})
+    ).withColumnsRenamed({"of": "_of", "role": "_role"})
     piece = F.struct(F.struct("seq").alias("seq"), (~anew).cast("int").alias("rank"), F.coalesce("text", F.lit("")).alias("text"))
     live = (F.col("since").isNull() | (F.struct("seq") >= F.col("since"))) & (F.coalesce("text", F.lit("")) != "")
-    joined = log.where(F.col("kind") != "regenerate").join(
-        last, F.col("conv").eqNullSafe(F.col("_conv")) & F.col("message").eqNullSafe(F.col("_message")), "right"
-    )
+    joined = log.where(F.col("kind") != "regenerate").join(last, F.col("of") == F.col("_of"), "right")
     return (
-        joined.groupBy("_conv", "_message", "_role")
+        joined.groupBy("_of", "_role")
         .agg(F.array_join(F.sort_array(F.collect_set(F.when(live, piece)))["text"], "").alias("text"))
-        .select(F.col("_conv").alias(conv), F.col("_message").alias(message), F.coalesce("_role", F.lit("")).alias(role), F.col("text").alias(text))
+        .select(F.col("_of.conv").alias(conv), F.col("_of.message").alias(message), F.coalesce("_role", F.lit("")).alias(role), F.col("text").alias(text))
     )
 
 
