@@ -7,8 +7,9 @@ path of backpointers behind them. Whenever all those paths run through one
 boundary, everything before it is settled and its ids are given out, so memory does
 not grow with the text.
 
-No token of the vocabulary has a blank mark behind another symbol, so a text falls
-into stretches of blank marks with what follows; those met before are looked up.
+No token of the vocabulary has a blank mark behind another symbol, so all paths meet
+before each, and a text falls into stretches of blank marks with what follows. Those
+met before are looked up; short ones are settled at their end, long ones on the way.
 """
 
 from __future__ import annotations
@@ -129,6 +130,22 @@ class Pieces:
                     open_ = open_[meet:]
         yield self.path(open_, len(open_))
 
+    def stretch(self, symbols: str) -> array:
+        """Ids of a stretch that fits the window: nothing reaches across its end, where all paths meet."""
+        if len(self.states) > REMEMBERED_STATES:
+            self.forget()
+        steps, open_ = self.steps[0], []
+        for symbol in symbols:
+            try:
+                found = steps[symbol]
+            except KeyError:
+                if symbol not in self.lattice.tokens:
+                    return array("I", chain.from_iterable(self.stream(symbols)))
+                found = self.step(open_[-1][1] if open_ else 0, symbol)
+            steps = found[0]
+            open_.append(found)
+        return array("I", self.path(open_, len(open_)))
+
     @staticmethod
     def path(open_: list[tuple], end: int) -> list[int]:
         """Ids of the tokens from the settled boundary to another one."""
@@ -157,11 +174,13 @@ class Pieces:
         for s in stretches(MARK + text.replace(" ", MARK)):
             ids = known.get(s)
             if ids is None:
-                ids = little_endian(array("I", chain.from_iterable(self.stream(s))))
-                if len(known) >= CACHED_STRETCHES:
-                    known.clear()
-                if len(s) <= 64:
+                if len(s) <= SETTLE_EVERY:
+                    ids = little_endian(self.stretch(s))
+                    if len(known) >= CACHED_STRETCHES:
+                        known.clear()
                     known[s] = ids
+                else:
+                    ids = little_endian(array("I", chain.from_iterable(self.stream(s))))
             out.append(ids)
         return b"".join(out)
 
