@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from fieldfit.operators import contracts, esn, evolution, reconcile, relational,
 from fieldfit.plans import completeness, dashboard
 from fieldfit.plans.esn import validation_report
 from fieldfit.plans.sync import apply_payload
-from fieldfit.schemas import SNAPSHOTS
+from fieldfit.schemas import INPUTS, SNAPSHOTS
 from fieldfit.session import checkpointed, scratch_path
 from fieldfit.sources import SnapshotStore, load_bundle, load_chunks, load_payload, load_table, write_chunks
 from fieldfit.streaming import stream_upsert
@@ -77,6 +78,36 @@ def table_scan(s: Sample) -> DataFrame:
     return load_table(s.spark, s.dir, "customer.parquet", names)
 
 
+@query(
+    """SELECT * FROM (
+      SELECT 'associations' AS input, count(*) AS n, count(id) AS known, count(DISTINCT id) AS ids FROM v_assoc
+      UNION ALL SELECT 'companies', count(*), count(csm_name), count(DISTINCT csm_name) FROM v_companies
+      UNION ALL SELECT 'cube', count(*), count(company_id), count(DISTINCT company_id) FROM v_cube
+      UNION ALL SELECT 'deliveries', count(*), count(esn), count(DISTINCT esn) FROM v_deliveries
+      UNION ALL SELECT 'devices', count(*), count(ordem_de_servico), count(DISTINCT ordem_de_servico) FROM v_devices
+      UNION ALL SELECT 'field_events', count(*), count(consultor), count(DISTINCT consultor) FROM v_field_events
+      UNION ALL SELECT 'finished', count(*), count(data_servico), count(DISTINCT data_servico) FROM v_finished
+      UNION ALL SELECT 'groups', count(*), count(id), count(DISTINCT id) FROM v_groups
+      UNION ALL SELECT 'lines', count(*), count(product_id), count(DISTINCT product_id) FROM v_lines
+      UNION ALL SELECT 'scores', count(*), count(event_week), count(DISTINCT event_week) FROM v_scores)"""
+)
+def declared_inputs(s: Sample) -> DataFrame:
+    """All ten inputs as stored files, read with their declared schemas: rows, known values and distinct ones of a column."""
+    shown = {
+        "associations": "id", "companies": "csm_name", "cube": "company_id", "deliveries": "esn",
+        "devices": "ordem_de_servico", "field_events": "consultor", "finished": "data_servico",
+        "groups": "id", "lines": "product_id", "scores": "event_week",
+    }
+    out = []
+    for name, column in shown.items():
+        root, _, folder = s.kept_path(name).rpartition("/")
+        rows = load_table(s.spark, root, folder, schema=INPUTS[name])
+        col = F.col(column)
+        facts = rows.agg(F.count(F.lit(1)).alias("n"), F.count(col).alias("known"), F.countDistinct(col).alias("ids"))
+        out.append(facts.select(F.lit(name).alias("input"), "n", "known", "ids"))
+    return reduce(DataFrame.unionAll, out)
+
+
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM v_base_orders")
 def bundle_rows(s: Sample) -> DataFrame:
     bundle, _ = write_payload(s)
@@ -106,14 +137,18 @@ def payload_last_arrivals(s: Sample) -> DataFrame:
     return snapshots.last_arrivals(rows, ["o_orderkey"]).select("o_orderkey", "o_orderstatus")
 
 
-@query("SELECT o_orderkey, o_orderstatus, o_totalprice, true AS file_fits FROM orders")
+@query(
+    "SELECT o_orderkey, o_orderstatus, o_totalprice, (row_number() OVER (ORDER BY o_orderkey) - 1) // 100 AS file_no FROM orders"
+)
 def chunk_files(s: Sample) -> DataFrame:
     folder = scratch_path(s.spark, "chunks")
     rows = s.table("orders").select(*ORDER_SCHEMA.names)
     write_chunks(rows, f"{folder}/orders-00.json", ["o_orderkey"], 100)
     back = load_chunks(s.spark, folder, "orders", ORDER_SCHEMA)
-    sizes = back.groupBy("arrival_file").agg((F.count(F.lit(1)) <= 100).alias("file_fits"))
-    return back.join(sizes, "arrival_file").select(*ORDER_SCHEMA.names, "file_fits")
+    # One row per file: its number by name.
+    files = back.select("arrival_file").distinct()
+    numbered = files.withColumn("file_no", F.expr("row_number() over (order by arrival_file) - 1"))
+    return back.join(numbered, "arrival_file").select(*ORDER_SCHEMA.names, "file_no")
 
 
 @query(

@@ -158,7 +158,8 @@ SELECT 'S' || o_orderkey AS hs_object_id,
        CASE WHEN o_orderpriority = '1-URGENT'
             THEN '[SUPPLY | novo] Instalação Cliente ' || o_custkey || ' Deal ID: ' || o_orderkey
             ELSE 'Ticket ' || o_orderkey END AS subject,
-       o_custkey, o_orderkey, o_orderpriority, o_totalprice, o_orderdate AS createdate,
+       o_custkey, o_orderkey, o_orderpriority, o_totalprice,
+       o_orderdate + to_hours(CAST(3 * (o_orderkey % 8) AS BIGINT)) AS createdate,
        CASE o_orderpriority WHEN '3-MEDIUM' THEN '111111' ELSE '263640' END AS hs_pipeline,
        CASE o_orderstatus WHEN 'O' THEN '263641' ELSE '999999' END AS hs_pipeline_stage,
        parts, CAST(low_part AS VARCHAR) AS low_part, CAST(high_part AS VARCHAR) AS high_part, owner AS ops_owner,
@@ -211,7 +212,8 @@ SELECT *, fin__config_tipo IN ('Troca', 'Upgrade', 'Downgrade') AS is_swap,
 FROM v_lines
 WHERE fin__config_tipo IN ('Primeira venda', 'Primeira venda [Upsell]', 'Upsell', 'Troca', 'Upgrade', 'Downgrade')
   AND product_id IN ('1', '3', '4', '5', '6', '8', '31', '32')
-  AND data_inicio_assinatura >= DATE '1995-01-01'"""
+  AND data_inicio_assinatura >= DATE '1995-01-01'
+  AND ticket_associated_deal_id NOT IN ('1', '2', '3', '5', '8', '13', '21', '34', '55', '89')"""
 
 VIEWS["v_grain"] = """
 SELECT associated_company_id, ticket_associated_deal_id, data_inicio_assinatura,
@@ -347,7 +349,7 @@ FROM v_ticket_pairs GROUP BY ticket_id"""
 VIEWS["v_dash"] = """
 SELECT t.ticket_id, t.display_name, t.subject_raw, t.pipeline_stage_label, t.in_agendar_instalacao, t.classe_instalacao,
        t.owner_name, t.owner_hubspot_id, m.squad AS owner_squad, CAST(t.createdate AS DATE) AS createdate,
-       CAST(DATE '2001-08-01' - CAST(t.createdate AS DATE) AS DOUBLE) AS dias_aberto,
+       (epoch_us(TIMESTAMP '2001-08-01') - epoch_us(t.createdate)) / 86400000000 AS dias_aberto,
        t.esn_count, t.company_id, t.deal_id, s.id_grupo_economico, s.company_name,
        s.basic_value_score, s.instalation_completeness_grade, s.mrr,
        CASE WHEN d.nota_instalacao < 3 THEN 'em_risco' ELSE 'ok' END AS mrr_status,

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldfit.config import DEFAULT_RULES, CompletenessRules
@@ -44,7 +44,9 @@ from fieldfit.operators.shipments import (
     serial_service,
     shipments,
 )
+from fieldfit.schemas import INPUTS
 from fieldfit.session import stored
+from fieldfit.sources.tables import load_table
 
 PUBLISHED = (
     "deal_id",
@@ -74,6 +76,24 @@ class Warehouse:
     devices: DataFrame
     finished: DataFrame
 
+    @classmethod
+    def load(
+        cls, spark: SparkSession, root: str | None, names: dict[str, str] | None = None, columns: dict | None = None
+    ) -> Warehouse:
+        """The eight tables as declared in ``schemas.INPUTS``, faults raised before anything runs.
+
+        ``names`` maps a field of this class to the stored table where they differ,
+        ``columns`` to its column renames (see ``load_table``).
+        """
+        names, columns = names or {}, columns or {}
+        inputs = {f.name: INPUTS["cube" if f.name == "tickets" else f.name] for f in fields(cls)}
+        return cls(
+            **{
+                name: load_table(spark, root, names.get(name, name), columns.get(name), schema=schema)
+                for name, schema in inputs.items()
+            }
+        )
+
 
 def deal_base(w: Warehouse, as_of: dt.date, rules: CompletenessRules = DEFAULT_RULES) -> DataFrame:
     """Contract rows with company, group, shipment, install and schedule facts.

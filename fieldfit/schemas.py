@@ -103,3 +103,67 @@ SNAPSHOTS = {
     "team_members": columns(email=TEXT, name=TEXT, squad=TEXT, role=TEXT, active=BOOL, hubspot_owner_id=LONG),
     "bv_grade_snapshots": columns(snapshot_date=DATE, grade=TEXT, company_count=LONG, total_companies=LONG),
 }
+
+
+# Input table -> columns that the library reads, under its own names.
+MONEY, TEXTS = T.DecimalType(38, 6), T.ArrayType(TEXT)
+INPUTS = {
+    "lines": columns(
+        ticket_associated_deal_id=TEXT,
+        associated_company_id=TEXT,
+        data_inicio_assinatura=DATE,
+        product_id=TEXT,
+        quantidade_alterados=LONG,
+        mrr_total_produto=MONEY,
+        fin__config_tipo=TEXT,
+    ),
+    "companies": columns(
+        id=TEXT,
+        razao_social=TEXT,
+        endereco_uf=TEXT,
+        status_da_empresa=TEXT,
+        fleet_size_empresa=LONG,
+        potencial_total_da_empresa=DOUBLE,
+        csm_name=TEXT,
+    ),
+    "associations": columns(id=TEXT, grupo_economico_id=TEXT),
+    "groups": columns(id=TEXT, grupo_economico__potencial_total=DOUBLE),
+    "cube": columns(
+        ticket_id=TEXT,
+        company_id=TEXT,
+        ticket_associated_deal_id=TEXT,
+        pipeline_label=TEXT,
+        ticket_status=TEXT,
+        envio__classe=TEXT,
+        instalacao__qtd_dispositivos_efetivamente_agendados=LONG,
+        instalacao__esns_processados=TEXTS,
+    ),
+    "deliveries": columns(
+        ticket_id_crm=TEXT,
+        esn=TEXT,
+        unit_id=TEXT,
+        sku=TEXT,
+        modelo_item=TEXT,
+        item_name=TEXT,
+        created_at=TIME,
+    ),
+    "devices": columns(esn=TEXT, unit_id=TEXT, ordem_de_servico=TEXT),
+    "finished": columns(ordem_de_servico=TEXT, data_servico=DATE),
+    "scores": columns(
+        company_id=TEXT,
+        id_grupo_economico=TEXT,
+        company_name=TEXT,
+        event_week=DATE,
+        basic_value_score=DOUBLE,
+        instalation_completeness_grade=LONG,
+        mrr=DOUBLE,
+    ),
+    "field_events": columns(
+        ordem_de_servico=TEXT,
+        status=TEXT,
+        prestador=TEXT,
+        consultor=TEXT,
+        data_agendada=TIME,
+        cliente=TEXT,
+    ),
+}

@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 
 import pytest
@@ -6,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldfit.operators.snapshots import last_arrivals, upsert
+from fieldfit.plans.completeness import Warehouse, completeness_by_deal
+from fieldfit.schemas import INPUTS
 from fieldfit.sources import SnapshotStore, load_bundle, load_chunks, load_payload, load_table, write_chunks
 from fieldfit.streaming import stream_upsert
 
@@ -35,19 +38,95 @@ def test_payload_order_is_bundle_then_chunks_then_position(spark, tmp_path, rows
     assert load_chunks(spark, str(tmp_path), "nothing", SCHEMA).count() == 0
 
 
+def chunk_arrays(folder, wrap=None):
+    """Arrays of the files in the order of their names."""
+    texts = [json.loads(f.read_text()) for f in sorted(folder.glob("part-*"))]
+    return [t[wrap] for t in texts] if wrap else texts
+
+
 def test_chunk_files_have_fixed_size_and_key_order(spark, tmp_path, rows):
-    df = spark.range(450).select(F.format_string("%05d", "id").alias("k"), F.when(F.col("id") != 7, F.col("id")).alias("v"))
-    write_chunks(df, str(tmp_path / "t-00.json"), ["k"], 100)
-    files = sorted((tmp_path / "t-00.json").glob("part-*"))
-    arrays = [json.loads(f.read_text()) for f in files]
-    assert max(len(a) for a in arrays) <= 100 and sum(len(a) for a in arrays) == 450
-    spans = sorted((a[0]["k"], a[-1]["k"]) for a in arrays)
-    assert all(a == sorted(a, key=lambda r: r["k"]) for a in arrays)
-    assert all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
-    assert {"k": "00007", "v": None} in [r for a in arrays for r in a]
+    df = spark.range(1250).select(F.format_string("%05d", "id").alias("k"), F.when(F.col("id") != 7, F.col("id")).alias("v"))
+    write_chunks(df.orderBy(F.rand(3)), str(tmp_path / "t-00.json"), ["k"], 100)
+    arrays = chunk_arrays(tmp_path / "t-00.json")
+    assert [len(a) for a in arrays] == [100] * 12 + [50]
+    assert [r["k"] for a in arrays for r in a] == [f"{i:05d}" for i in range(1250)]
+    assert {"k": "00007", "v": None} in arrays[0]
     assert rows(load_chunks(spark, str(tmp_path), "t", SCHEMA), "k", "v") == rows(df)
 
 
+@pytest.mark.parametrize("n, size", [(1, 5), (5, 5), (6, 5), (7, 1), (400, 3)])
+def test_chunk_files_split_repeated_rows_and_wrap(spark, tmp_path, n, size):
+    # most rows are the same one
+    df = spark.range(n).select(F.when(F.col("id") % 10 > 0, "hot \n \"row\"").otherwise(F.col("id").cast("string")).alias("a.b"))
+    write_chunks(df, str(tmp_path / "b"), ["a.b"], size, wrap='the "t"')
+    arrays = chunk_arrays(tmp_path / "b", 'the "t"')
+    assert [len(a) for a in arrays] == [size] * (n // size) + [n % size] * (n % size > 0)
+    assert [r["a.b"] for a in arrays for r in a] == sorted(r[0] for r in df.collect())
+
+
+def test_no_rows_give_no_chunk_rows(spark, tmp_path):
+    write_chunks(spark.createDataFrame([], SCHEMA), str(tmp_path / "t-00.json"), ["k"], 10)
+    assert "".join(f.read_text() for f in (tmp_path / "t-00.json").glob("part-*")) == ""
+    with pytest.raises(ValueError, match="rows_per_file"):
+        write_chunks(spark.createDataFrame([], SCHEMA), str(tmp_path / "u"), ["k"], 0)
+
+
+def test_chunk_files_take_one_range_shuffle_and_gather_nothing(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    plans = []
+    keep = lambda how: lambda self, path: (plans.append(self._df._jdf.queryExecution().optimizedPlan().toString()), how(self, path))
+    for how in ("parquet", "text"):
+        monkeypatch.setattr(DataFrameWriter, how, keep(getattr(DataFrameWriter, how)))
+    write_chunks(spark.range(50).withColumnRenamed("id", "k"), str(tmp_path / "t"), ["k"], 10)
+    assert sum(p.count("RepartitionByExpression") for p in plans) == 2
+    assert not any("collect_list" in p for p in plans)
+
+
+def test_declared_schema_is_checked(spark, tmp_path, frame, rows):
+    root = str(tmp_path)
+    df = frame("ID int, v float, t timestamp_ntz, m decimal(9,3), tags array<string>, more string", (1, 0.5, None, None, ["x"], "y"))
+    df.write.parquet(f"{root}/x")
+    wanted = "id bigint, v double, t timestamp, m decimal(38,6), tags array<string>"
+    schema = T.StructType.fromDDL(wanted)
+    got = load_table(spark, root, "x", schema=schema)
+    assert got.schema.simpleString() == "struct<id:bigint,v:double,t:timestamp,m:decimal(9,3),tags:array<string>>"
+    assert rows(got, "id", "v", "tags") == [(1, 0.5, ["x"])]
+    assert "more" not in got._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(TypeError, match="x: column id is int, not string; column gone is missing; column tags is array<string>, not array<bigint>"):
+        load_table(spark, root, "x", schema=T.StructType.fromDDL("id string, gone date, v double, tags array<bigint>"))
+    # a wider stored type is not cut down
+    with pytest.raises(TypeError, match="column v is float, not int"):
+        load_table(spark, root, "x", schema=T.StructType.fromDDL("v int"))
+    # renamed columns are checked under their own names
+    renamed = load_table(spark, root, "x", {"key": "ID"}, schema=T.StructType.fromDDL("key bigint, v double"))
+    assert rows(renamed) == [(1, 0.5)]
+    with pytest.raises(TypeError, match="column key is missing"):
+        load_table(spark, root, "x", {"key": "absent"}, schema=T.StructType.fromDDL("key bigint, v double"))
+
+
+def test_declared_schema_parses_json_tables(spark, tmp_path, rows):
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "a.json").write_text('{"Key": "a", "n": 1, "x": []}\n{"Key": "b"}\n')
+    schema = T.StructType.fromDDL("k string, n bigint")
+    assert rows(load_table(spark, str(tmp_path), "j", {"k": "Key"}, "json", schema)) == [("a", 1), ("b", None)]
+    (tmp_path / "j" / "b.json").write_text('{"Key": "c", "n": "many"}\n')
+    with pytest.raises(Exception, match="many|MALFORMED"):
+        load_table(spark, str(tmp_path), "j", {"k": "Key"}, "json", schema).collect()
+
+
+def test_warehouse_is_loaded_as_declared(spark, tmp_path):
+    for name in ("lines", "companies", "associations", "groups", "cube", "deliveries", "devices", "finished"):
+        spark.createDataFrame([], INPUTS[name]).write.parquet(str(tmp_path / name))
+    loaded = Warehouse.load(spark, str(tmp_path), {"tickets": "cube"})
+    assert loaded.tickets.columns == INPUTS["cube"].names and loaded.lines.columns == INPUTS["lines"].names
+    assert completeness_by_deal(loaded, dt.date(2026, 1, 1)).count() == 0
+    stored = spark.createDataFrame([], INPUTS["finished"]).withColumn("data_servico", F.lit("2026"))
+    stored.write.parquet(str(tmp_path / "other"))
+    with pytest.raises(TypeError, match="other: column data_servico is string, not date"):
+        Warehouse.load(spark, str(tmp_path), {"tickets": "cube", "finished": "other"})
+
+
 def test_table_renames(spark, tmp_path, rows):
     spark.range(3).withColumnRenamed("id", "Stored_ID").write.parquet(str(tmp_path / "x"))
     assert load_table(spark, str(tmp_path), "x").columns == ["stored_id"]
