@@ -7,9 +7,11 @@ path of backpointers behind them. Whenever all those paths run through one
 boundary, everything before it is settled and its ids are given out, so memory does
 not grow with the text.
 
-No token of the vocabulary has a blank mark behind another symbol, so all paths meet
-before each, and a text falls into stretches of blank marks with what follows. Those
-met before are looked up; short ones are settled at their end, long ones on the way.
+All paths meet at a boundary between two symbols that stand next to each other in no
+token. No token has a blank mark behind another symbol; the other symbols fall into
+classes, the connected ones of the symbols that tokens put side by side. A text thus
+falls into stretches: blank marks with what follows in one class. Those met before are
+looked up; short ones are settled at their end, long ones on the way.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import re
 import sys
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -38,7 +40,27 @@ SETTLE_EVERY = 64
 REMEMBERED_STATES = 150_000
 BATCH_CHARS = 2_000_000
 
-stretches = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
+
+def stretch_pattern(tokens: Iterable[str]) -> re.Pattern:
+    """Blank marks with the symbols of one class behind them, or with a symbol that no
+    token puts beside another."""
+    root: dict[str, str] = {}
+
+    def top(c: str) -> str:
+        while root.setdefault(c, c) != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    for token in tokens:
+        plain = token.lstrip(MARK)
+        for a, b in zip(plain, plain[1:]):
+            root[top(a)] = top(b)
+    classes: dict[str, list[str]] = {}
+    for c in root:
+        classes.setdefault(top(c), []).append(c)
+    sets = ["".join(map(re.escape, sorted(c))) for c in sorted(classes.values(), key=len, reverse=True)]
+    runs = [f"{MARK}*[{s}]+" for s in sets]
+    return re.compile("|".join([*runs, f"{MARK}*[^{MARK}{''.join(sets)}]", f"{MARK}+"]))
 
 
 def little_endian(ids: array) -> bytes:
@@ -58,6 +80,7 @@ class Pieces:
         self.scores = {p: -model.get_score(i) for p, i in self.ids.items()}
         if any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids):
             raise ValueError("a piece has a blank mark behind another symbol")
+        self.stretches = stretch_pattern(self.ids).findall
         self.byte_ids = {int(model.id_to_piece(i)[3:5], 16): i for i in range(size) if model.is_byte(i)}
         # What each id stands for: a text in UTF-8, or one byte of one.
         self.texts = [b""] * size
@@ -71,7 +94,9 @@ class Pieces:
             self.is_byte[i] = True
         get = self.scores.get
         self.lattice = Lattice([p for p in self.ids], lambda pair: get(pair[0] + pair[1]) if pair[0] and pair[1] else None)
+        # Ids of stretches met lately, and of those met before them.
         self.known: dict[str, bytes] = {}
+        self.known_before: dict[str, bytes] = {}
         self.forget()
 
     def forget(self) -> None:
@@ -171,13 +196,16 @@ class Pieces:
         if not text:
             return b""
         known, out = self.known, []
-        for s in stretches(MARK + text.replace(" ", MARK)):
+        for s in self.stretches(MARK + text.replace(" ", MARK)):
             ids = known.get(s)
             if ids is None:
                 if len(s) <= SETTLE_EVERY:
-                    ids = little_endian(self.stretch(s))
+                    ids = self.known_before.get(s)
+                    if ids is None:
+                        ids = little_endian(self.stretch(s))
                     if len(known) >= CACHED_STRETCHES:
-                        known.clear()
+                        self.known_before = known
+                        known = self.known = {}
                     known[s] = ids
                 else:
                     ids = little_endian(array("I", chain.from_iterable(self.stream(s))))

@@ -36,6 +36,23 @@ def test_random_texts(library):
         assert sp.pieces(PATH).decode(sp.pieces(PATH).encode(t)) == library.decode(library.encode(t)), repr(t)
 
 
+def test_no_piece_reaches_across_stretches():
+    v = sp.pieces(PATH)
+    assert [p for p in v.ids if len(v.stretches(p)) > 1] == []
+    for t in texts(500, seed=8):
+        assert "".join(v.stretches(t)) == t
+    assert v.stretches("▁the!!\nAnd▁▁x▁") == ["▁the", "!!", "\n", "And", "▁▁x", "▁"]
+
+
+def test_small_caches_change_nothing(monkeypatch, library):
+    monkeypatch.setattr(sp, "CACHED_STRETCHES", 3)
+    monkeypatch.setattr(sp, "REMEMBERED_STATES", 20)
+    v = sp.Pieces(PATH)
+    for t in texts(150, seed=9):
+        assert ids(v.encode(t)) == library.encode(t), repr(t)
+        assert len(v.known) <= 3 and len(v.known_before) <= 3
+
+
 def test_decoding_of_any_ids(library):
     rng = random.Random(2)
     for _ in range(500):
