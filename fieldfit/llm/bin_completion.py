@@ -61,6 +61,32 @@ def sequences(patterns: list[Pattern]) -> int:
     return sum(n for n, _ in patterns)
 
 
+def lower_bound(counts: dict[int, int], size: int) -> int:
+    """Sequences that any packing needs at least.
+
+    The greatest of two bounds. For every limit k up to size / 2 (Martello and Toth):
+    documents over size - k are alone, those over size / 2 have a sequence each, and
+    what the latter leave over takes no more than their rest of the documents from k
+    to size / 2; k = 0 gives total / size. For every m: documents over size / (m + 1)
+    go m at most into one sequence.
+    """
+    number, total = [0] * (size + 2), [0] * (size + 2)  # of the documents shorter than the place
+    for length in range(size + 1):
+        n = counts.get(length, 0)
+        number[length + 1], total[length + 1] = number[length] + n, total[length] + n * length
+    half, least = size // 2, 0
+    for k in range(half + 1):
+        alone = number[size + 1] - number[size - k + 1]
+        paired = number[size - k + 1] - number[half + 1]
+        small = total[half + 1] - total[k]
+        room = paired * size - (total[size - k + 1] - total[half + 1])
+        least = max(least, alone + paired + max(0, -(-(small - room) // size)))
+    for m in range(1, size + 1):
+        n = number[size + 1] - number[size // (m + 1) + 1]
+        least = max(least, -(-n // m))
+    return least
+
+
 def fillings(
     lengths: list[int], counts: dict[int, int], room: int, most_waste: int, keep: int = FILLINGS, whole: bool = False, most_only: bool = False
 ) -> list[tuple[int, tuple]]:
@@ -119,26 +145,23 @@ def pack(counts: dict[int, int], size: int) -> list[Pattern]:
     improvement on the incumbent can afford. The first search looks at completions
     with the most documents of a length or none, the second at every number of them;
     the third, where a branch leads to no improvement, comes back and tries all completions, each also on fewer
-    sequences down to one. If the incumbent reaches the bound ``total / size`` it is
-    optimal; otherwise each search ends after SEARCH_NODES nodes with the best
+    sequences down to one. If the incumbent reaches ``lower_bound`` it is
+    optimal and the search ends; otherwise each search ends after SEARCH_NODES nodes with the best
     solution so far, which always holds every document.
     """
     counts = {length: n for length, n in counts.items() if n}
     if any(not 0 < length <= size for length in counts):
         raise ValueError("a length is outside the sequence size")
-    total = sum(length * n for length, n in counts.items())
-    least = -(-total // size)
-    best = best_fit(counts, size)
+    least, best = lower_bound(counts, size), best_fit(counts, size)
     for most_only, thorough in ((True, False), (False, False), (False, True)):
         if sequences(best) > least:
-            best = search(counts, size, best, most_only, thorough)
+            best = search(counts, size, best, least, most_only, thorough)
     return best
 
 
-def search(counts: dict[int, int], size: int, best: list[Pattern], most_only: bool, thorough: bool) -> list[Pattern]:
-    """``best`` or a packing in fewer sequences, by one of the searches of ``pack``."""
+def search(counts: dict[int, int], size: int, best: list[Pattern], least: int, most_only: bool, thorough: bool) -> list[Pattern]:
+    """``best`` or a packing in fewer sequences, ``least`` ones at least, by one of the searches of ``pack``."""
     total = sum(length * n for length, n in counts.items())
-    least = -(-total // size)
     left = dict(counts)
     lengths = sorted(left)
     used = waste = nodes = 0

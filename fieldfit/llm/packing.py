@@ -32,6 +32,7 @@ SIZE = 4096
 END_ID = 1
 SLICE_ROWS = 1_000
 CACHED_WORDS = 300_000
+CACHED_CHARS = 8_000_000
 BATCH_CHARS = 2_000_000
 
 
@@ -60,11 +61,18 @@ class Encoder:
         self.ends[[i for t, i in self.full.get_vocab().items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
         self.letters: dict[str, bytes] = {}
+        self.known_chars = self.letters_chars = 0
 
     def learn(self, words: set[str]) -> None:
-        """Encode unknown words."""
-        if len(self.known) + len(words) > CACHED_WORDS:
-            self.known = {"": b""}
+        """Encode unknown words; the kept ones go if there would be too many or too long ones."""
+        chars = sum(map(len, words))
+        if len(self.known) + len(words) > CACHED_WORDS or self.known_chars + chars > CACHED_CHARS:
+            self.known, self.known_chars = {"": b""}, 0
+        self.keep(words)
+
+    def keep(self, words: set[str]) -> None:
+        """Encode words and keep them, a batch's at least."""
+        self.known_chars += sum(map(len, words))
         plain, lows, marks, other = [], [], [], set()
         for w in words:
             m = PLAIN(w)
@@ -87,8 +95,11 @@ class Encoder:
 
     def learn_letters(self, words: set[str]) -> None:
         todo = words.difference(self.letters)
-        if len(self.letters) + len(todo) > CACHED_WORDS:
-            self.letters, todo = {}, words
+        chars = sum(map(len, todo))
+        if len(self.letters) + len(todo) > CACHED_WORDS or self.letters_chars + chars > CACHED_CHARS:
+            self.letters, self.letters_chars, todo = {}, 0, words
+            chars = sum(map(len, words))
+        self.letters_chars += chars
         for part in parts_of(todo):
             ids = np.array(self.light.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
             cuts = np.concatenate(([0], np.flatnonzero(self.ends[ids]) + 1))
@@ -106,12 +117,15 @@ class Encoder:
             need = set().union(*split)
             fresh = need.difference(self.known)
             if fresh:
-                before = self.known
+                before, collecting = self.known, gc.isenabled()
                 gc.disable()  # many small objects, none of them in cycles
-                self.learn(fresh)
-                if self.known is not before:  # started anew: the other words are needed too
-                    self.learn(need.difference(self.known))
-                gc.enable()
+                try:
+                    self.learn(fresh)
+                    if self.known is not before:  # started anew: the other words are needed too
+                        self.keep(need.difference(self.known))
+                finally:
+                    if collecting:
+                        gc.enable()
             for words in split:
                 yield b"".join(map(self.known.__getitem__, words))
             at = upto

@@ -1,6 +1,8 @@
 """Packing: exact optimum on small cases, whole results against the library, odd rows."""
 
+import gc
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -10,8 +12,9 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+import fieldfit.llm.packing as packing
 from conftest import SF
-from fieldfit.llm.bin_completion import best_fit, fillings, pack, sequences
+from fieldfit.llm.bin_completion import best_fit, fillings, lower_bound, pack, sequences
 from fieldfit.llm.packing import Encoder, pack_documents
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -58,6 +61,38 @@ def test_patterns_hold_everything_and_reach_the_optimum():
         assert sequences(got) == optimum(items, size)
 
 
+def test_lower_bound_holds_and_is_met_early():
+    rng = random.Random(6)
+    for _ in range(300):
+        size = rng.choice([7, 10, 20, 50])
+        items = [rng.randint(1, size) for _ in range(rng.randint(0, 8))]
+        assert -(-sum(items) // size) <= lower_bound(Counter(items), size) <= optimum(items, size)
+    assert lower_bound({}, 10) == 0
+    # two of these at most fit a sequence, one of those; total / size is far less
+    assert lower_bound({1366: 2077}, 4096) == 1039
+    assert lower_bound({2049: 50, 1000: 3}, 4096) == 50
+    # best-fit meets the bound: no search
+    counts = {length: 3 for length in range(1366, 2049)}
+    started = time.perf_counter()
+    assert sequences(pack(counts, 4096)) == lower_bound(counts, 4096) == 1025
+    assert time.perf_counter() - started < 3
+
+
+def test_encoder_keeps_bounded_text_and_the_collector(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_CHARS", 1000)
+    library, e = Tokenizer.from_file(PATH), Encoder(PATH)
+    rng = random.Random(7)
+    for _ in range(40):
+        text = " ".join("".join(rng.choice("abC9,é") for _ in range(rng.choice([3, 300]))) for _ in range(4))
+        assert np.frombuffer(next(e.encode_all([text])), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert sum(map(len, e.known)) <= 2300 and sum(map(len, e.letters)) <= 2300
+    assert gc.isenabled()
+    with pytest.raises(TypeError):
+        e.learn_letters = None
+        list(e.encode_all(["quite new words"]))
+    assert gc.isenabled()
+
+
 def test_completion_improves_on_best_fit():
     # best fit pairs the sixes with threes; three twos complete each six
     counts, size = {6: 4, 3: 8, 2: 12, 4: 4, 5: 4}, 12
