@@ -59,20 +59,26 @@ class Encoder:
         )
         self.ends = np.zeros(max(self.full.get_vocab().values()) + 1, bool)
         self.ends[[i for t, i in self.full.get_vocab().items() if t.endswith("</w>")]] = True
+        # Words met lately, and those met before them.
         self.known: dict[str, bytes] = {"": b""}
         self.letters: dict[str, bytes] = {}
+        self.known_before: dict[str, bytes] = {}
+        self.letters_before: dict[str, bytes] = {}
         self.known_chars = self.letters_chars = 0
 
     def learn(self, words: set[str]) -> None:
         """Encode unknown words; the kept ones go if there would be too many or too long ones."""
         chars = sum(map(len, words))
         if len(self.known) + len(words) > CACHED_WORDS or self.known_chars + chars > CACHED_CHARS:
-            self.known, self.known_chars = {"": b""}, 0
+            self.known_before, self.known, self.known_chars = self.known, {"": b""}, 0
         self.keep(words)
 
     def keep(self, words: set[str]) -> None:
         """Encode words and keep them, a batch's at least."""
         self.known_chars += sum(map(len, words))
+        again = [w for w in words if w in self.known_before]
+        self.known.update(zip(again, map(self.known_before.__getitem__, again)))
+        words = words.difference(again)
         plain, lows, marks, other = [], [], [], set()
         for w in words:
             m = PLAIN(w)
@@ -97,9 +103,12 @@ class Encoder:
         todo = words.difference(self.letters)
         chars = sum(map(len, todo))
         if len(self.letters) + len(todo) > CACHED_WORDS or self.letters_chars + chars > CACHED_CHARS:
-            self.letters, self.letters_chars, todo = {}, 0, words
+            self.letters_before, self.letters, self.letters_chars, todo = self.letters, {}, 0, words
             chars = sum(map(len, words))
         self.letters_chars += chars
+        again = [w for w in todo if w in self.letters_before]
+        self.letters.update(zip(again, map(self.letters_before.__getitem__, again)))
+        todo = todo.difference(again)
         for part in parts_of(todo):
             ids = np.array(self.light.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
             cuts = np.concatenate(([0], np.flatnonzero(self.ends[ids]) + 1))

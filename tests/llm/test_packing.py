@@ -86,6 +86,7 @@ def test_encoder_keeps_bounded_text_and_the_collector(monkeypatch):
         text = " ".join("".join(rng.choice("abC9,é") for _ in range(rng.choice([3, 300]))) for _ in range(4))
         assert np.frombuffer(next(e.encode_all([text])), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
         assert sum(map(len, e.known)) <= 2300 and sum(map(len, e.letters)) <= 2300
+        assert sum(map(len, e.known_before)) <= 2300 and sum(map(len, e.letters_before)) <= 2300
     assert gc.isenabled()
     with pytest.raises(TypeError):
         e.learn_letters = None
