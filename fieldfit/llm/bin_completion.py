@@ -17,6 +17,7 @@ Pattern = tuple[int, tuple[tuple[int, int], ...]]  # sequences, ((length, docume
 FILLINGS = 6  # completions kept per sequence at first
 FILLING_NODES = 1500  # nodes of the enumeration of one sequence's completions
 SEARCH_NODES = 20_000  # nodes of the search over sequences
+SEARCH_WORK = 1_500_000  # nodes of all the completions that one search enumerates
 
 
 def best_fit(counts: dict[int, int], size: int) -> list[Pattern]:
@@ -88,7 +89,7 @@ def lower_bound(counts: dict[int, int], size: int) -> int:
 
 
 def fillings(
-    lengths: list[int], counts: dict[int, int], room: int, most_waste: int, keep: int = FILLINGS, whole: bool = False, most_only: bool = False
+    lengths: list[int], counts: dict[int, int], room: int, most_waste: int, keep: int = FILLINGS, whole: bool = False, most_only: bool = False, spent: list[int] | None = None
 ) -> list[tuple[int, tuple]]:
     """Undominated ways to fill ``room``, least waste first: (waste, ((length, n), ...)).
 
@@ -98,7 +99,7 @@ def fillings(
     where all shorter documents together cannot bring the waste down to what is
     allowed. The ``keep`` ways of least waste are returned, of those met within
     FILLING_NODES nodes; unless ``whole``, a way without waste ends the enumeration.
-    ``most_only`` looks at the most documents of a length and at none only, which
+    ``spent`` counts the nodes. ``most_only`` looks at the most documents of a length and at none only, which
     reaches more different lengths within the nodes.
     """
     best: list[tuple[int, tuple]] = []
@@ -133,6 +134,8 @@ def fillings(
             at -= 1
 
     go(room, len(lengths), (), room + 1)
+    if spent is not None:
+        spent[0] += nodes + len(lengths) // 10
     return best
 
 
@@ -146,7 +149,8 @@ def pack(counts: dict[int, int], size: int) -> list[Pattern]:
     with the most documents of a length or none, the second at every number of them;
     the third, where a branch leads to no improvement, comes back and tries all completions, each also on fewer
     sequences down to one. If the incumbent reaches ``lower_bound`` it is
-    optimal and the search ends; otherwise each search ends after SEARCH_NODES nodes with the best
+    optimal and the search ends; otherwise each search ends after SEARCH_NODES nodes, or after
+    SEARCH_WORK nodes of completions (a tenth of a node for every length), with the best
     solution so far, which always holds every document.
     """
     counts = {length: n for length, n in counts.items() if n}
@@ -165,6 +169,7 @@ def search(counts: dict[int, int], size: int, best: list[Pattern], least: int, m
     left = dict(counts)
     lengths = sorted(left)
     used = waste = nodes = 0
+    rest, spent = total, [0]
 
     def choices(whole: bool) -> list:
         """(waste, filling, sequences), the latter the most that can be or, if ``whole``, also fewer."""
@@ -174,7 +179,7 @@ def search(counts: dict[int, int], size: int, best: list[Pattern], least: int, m
         left[top] -= 1
         room = size - top
         most = min(room, (sequences(best) - 1) * size - total - waste)
-        ways = fillings(lengths, left, room, most, FILLING_NODES if whole else FILLINGS, whole, most_only) if most >= 0 else []
+        ways = fillings(lengths, left, room, most, FILLING_NODES if whole else FILLINGS, whole, most_only, spent) if most >= 0 else []
         left[top] += 1
         out = []
         for w, way in ways:
@@ -187,13 +192,14 @@ def search(counts: dict[int, int], size: int, best: list[Pattern], least: int, m
         return out
 
     stack: list[list] = [[choices(False), 0, None, not thorough]]  # [choices, next choice, applied pattern or None, all choices]
-    while stack and nodes < SEARCH_NODES:
+    while stack and nodes < SEARCH_NODES and spent[0] < SEARCH_WORK:
         frame = stack[-1]
         if frame[2]:  # undo
             w, fill, n = frame[2]
             used, waste = used - n, waste - w * n
             for length, c in fill:
                 left[length] += c * n
+                rest += length * c * n
             frame[2] = None
         affordable = (sequences(best) - 1) * size - total
         if frame[1] >= len(frame[0]) or waste + frame[0][frame[1]][0] > affordable:
@@ -212,8 +218,8 @@ def search(counts: dict[int, int], size: int, best: list[Pattern], least: int, m
         used, waste = used + n, waste + w * n
         for length, c in fill:
             left[length] -= c * n
+            rest -= length * c * n
         frame[2] = (w, fill, n)
-        rest = sum(length * m for length, m in left.items())
         if not rest:
             best = [(f[2][2], f[2][1]) for f in stack]
             if sequences(best) <= least:
