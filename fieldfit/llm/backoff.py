@@ -80,7 +80,7 @@ def tokenised(docs: DataFrame, key: str, text: str, tokenizer: str, order: int)
         encode_all = encoder(public_tokenizers.path(tokenizer)).encode_all
         for batch in batches:
             at, documents, tokens = 0, [], 0
-            for i, raw in enumerate(encode_all(batch["_text"].to_pylist())):
+            for i, raw in enumerate(encode_all(batch["_text"])):
                 documents.append(np.frombuffer(raw, "<u4"))
                 tokens += len(documents[-1])
                 if tokens >= BLOCK_TOKENS or i == len(batch) - 1:

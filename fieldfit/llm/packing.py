@@ -12,15 +12,15 @@ size, so a length that a third of all documents share is no task's burden.
 from __future__ import annotations
 
 import gc
-import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -33,20 +33,45 @@ END_ID = 1
 SLICE_ROWS = 1_000
 CACHED_WORDS = 300_000
 CACHED_CHARS = 8_000_000
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 8_000_000
 
 
-# A run of letters that are in composed form whatever the normaliser does, and marks
-# after it: the pre-tokenizer cuts between the two (an apostrophe may go either way).
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+# Letters that are in composed form whatever the normaliser does, and marks: the
+# pre-tokenizer cuts a word between the two (an apostrophe may go either way).
+LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+class Kept:
+    """Ids of words met lately, and of those met before them: bounded in words and letters."""
+
+    def __init__(self, encode: Callable[[list[str]], Iterator[bytes]]):
+        self.encode = encode
+        self.now: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.chars = 0
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        """Ids of every word, no word given twice. A call's own words are kept, however many."""
+        fresh = [w for w in words if w not in self.now]
+        if fresh:
+            if len(self.now) + len(fresh) > CACHED_WORDS or self.chars + sum(map(len, fresh)) > CACHED_CHARS:
+                self.before, self.now, self.chars, fresh = self.now, {}, 0, words
+            self.chars += sum(map(len, fresh))
+            again = [w for w in fresh if w in self.before]
+            self.now.update(zip(again, map(self.before.__getitem__, again)))
+            fresh = [w for w in fresh if w not in self.before]
+            self.now.update(zip(fresh, self.encode(fresh)))
+        return list(map(self.now.__getitem__, words))
 
 
 class Encoder:
     """Ids of texts by a tokenizer whose words never cross blanks.
 
-    Every run without a blank is encoded once by the library and kept; a text's ids
-    are those of its runs in order. A run of plain letters is looked up in lower
-    case without the marks behind it, so that few different ones remain.
+    Every different run without a blank is looked up once per batch; a text's ids
+    are those of its runs in order. A run of plain letters with marks behind it is
+    cut between them and its letters are looked up in lower case, so that few
+    different ones remain for the library to encode.
     """
 
     def __init__(self, path: str):
@@ -59,90 +84,84 @@ class Encoder:
         )
         self.ends = np.zeros(max(self.full.get_vocab().values()) + 1, bool)
         self.ends[[i for t, i in self.full.get_vocab().items() if t.endswith("</w>")]] = True
-        # Words met lately, and those met before them.
-        self.known: dict[str, bytes] = {"": b""}
-        self.letters: dict[str, bytes] = {}
-        self.known_before: dict[str, bytes] = {}
-        self.letters_before: dict[str, bytes] = {}
-        self.known_chars = self.letters_chars = 0
-
-    def learn(self, words: set[str]) -> None:
-        """Encode unknown words; the kept ones go if there would be too many or too long ones."""
-        chars = sum(map(len, words))
-        if len(self.known) + len(words) > CACHED_WORDS or self.known_chars + chars > CACHED_CHARS:
-            self.known_before, self.known, self.known_chars = self.known, {"": b""}, 0
-        self.keep(words)
-
-    def keep(self, words: set[str]) -> None:
-        """Encode words and keep them, a batch's at least."""
-        self.known_chars += sum(map(len, words))
-        again = [w for w in words if w in self.known_before]
-        self.known.update(zip(again, map(self.known_before.__getitem__, again)))
-        words = words.difference(again)
-        plain, lows, marks, other = [], [], [], set()
-        for w in words:
-            m = PLAIN(w)
-            if m:
-                plain.append(w)
-                lows.append(m[1].lower())
-                marks.append(m[2])
-            else:
-                other.add(w)
-        self.learn_letters(set(lows))
-        other = other.union(marks).difference(self.known)
-        for part in parts_of(other):
+        self.any_words, self.low_words = Kept(self.encode_any), Kept(self.encode_low)
+
+    known = property(lambda self: self.any_words.now)
+    known_before = property(lambda self: self.any_words.before)
+    letters = property(lambda self: self.low_words.now)
+    letters_before = property(lambda self: self.low_words.before)
+
+    def learn(self, words: list[str]) -> list[bytes]:
+        return self.any_words.ids(words)
+
+    def learn_letters(self, words: list[str]) -> list[bytes]:
+        return self.low_words.ids(words)
+
+    def encode_any(self, words: list[str]) -> Iterator[bytes]:
+        for part in parts_of(words):
             starts = np.array([0, *accumulate(len(w) + 1 for w in part)])
             done = self.full.encode(" ".join(part), add_special_tokens=False)
             ids = np.array(done.ids, "<u4")
             where = np.fromiter((o[0] for o in done.offsets), np.int64, len(ids))
-            self.known.update(zip(part, split_at(ids, np.searchsorted(where, starts))))
-        letters, known = self.letters, self.known
-        known.update(zip(plain, [letters[low] + known[mark] for low, mark in zip(lows, marks)]))
-
-    def learn_letters(self, words: set[str]) -> None:
-        todo = words.difference(self.letters)
-        chars = sum(map(len, todo))
-        if len(self.letters) + len(todo) > CACHED_WORDS or self.letters_chars + chars > CACHED_CHARS:
-            self.letters_before, self.letters, self.letters_chars, todo = self.letters, {}, 0, words
-            chars = sum(map(len, words))
-        self.letters_chars += chars
-        again = [w for w in todo if w in self.letters_before]
-        self.letters.update(zip(again, map(self.letters_before.__getitem__, again)))
-        todo = todo.difference(again)
-        for part in parts_of(todo):
-            ids = np.array(self.light.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            cuts = np.concatenate(([0], np.flatnonzero(self.ends[ids]) + 1))
-            self.letters.update(zip(part, split_at(ids, cuts)))
+            yield from split_at(ids, np.searchsorted(where, starts))
 
-    def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Ids of every text as little-endian unsigned 32-bit integers."""
+    def encode_low(self, words: list[str]) -> Iterator[bytes]:
+        for part in parts_of(words):
+            ids = np.array(self.light.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            yield from split_at(ids, np.concatenate(([0], np.flatnonzero(self.ends[ids]) + 1)))
+
+    def encode_batch(self, texts: pa.Array) -> Iterator[bytes]:
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = split.values.dictionary_encode()
+        words = coded.dictionary
+        # A word is two parts: its letters and its marks, or the whole and nothing.
+        letters = pc.utf8_rtrim(words, MARKS)
+        plain = pc.match_substring_regex(letters, f"^{LETTERS}$")
+        low = pc.utf8_lower(letters.filter(plain)).dictionary_encode()
+        marks = pc.replace_substring_regex(words.filter(plain), f"^{LETTERS}", "").dictionary_encode()
+        other = words.filter(pc.invert(plain)).to_pylist()
+        # marks may themselves stand as words
+        whole = list(dict.fromkeys([*other, *marks.dictionary.to_pylist()]))
+        at = {w: n for n, w in enumerate(whole)}
+        shift = np.array([at[m] for m in marks.dictionary.to_pylist()], np.int64)
+        raw = [*self.learn(whole), *self.learn_letters(low.dictionary.to_pylist()), b""]
+        which = plain.to_numpy(zero_copy_only=False)
+        parts = np.full((len(words), 2), len(raw) - 1)
+        parts[~which, 0] = [at[w] for w in other]
+        parts[which, 0] = low.indices.to_numpy() + len(whole)
+        parts[which, 1] = shift[marks.indices.to_numpy()]
+        # The ids of the parts of all words of all texts, one after the other.
+        table = np.frombuffer(b"".join(raw), "<u4")
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        starts = np.cumsum(sizes) - sizes
+        placed = parts[coded.indices.to_numpy()].ravel()
+        ends = np.cumsum(sizes[placed])
+        ids = table[np.repeat(starts[placed] - ends + sizes[placed], sizes[placed]) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.concatenate(([0], ends))[2 * split.offsets.to_numpy()].tolist()
+        for a, b in zip(cuts, cuts[1:]):
+            yield ids[a:b].tobytes()
+
+    def encode_all(self, texts: list[str | None] | pa.Array) -> Iterator[bytes]:
+        """Ids of every text as little-endian unsigned 32-bit integers; none for NULL."""
+        rows = pc.fill_null(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()), "")
+        upto = np.cumsum(pc.utf8_length(rows).to_numpy())
         at = 0
-        while at < len(texts):
-            upto, chars = at, 0
-            while upto < len(texts) and (upto == at or chars + len(texts[upto] or "") <= BATCH_CHARS):
-                chars += len(texts[upto] or "")
-                upto += 1
-            split = [(t or "").replace("\n", " ").split(" ") for t in texts[at:upto]]
-            need = set().union(*split)
-            fresh = need.difference(self.known)
-            if fresh:
-                before, collecting = self.known, gc.isenabled()
-                gc.disable()  # many small objects, none of them in cycles
-                try:
-                    self.learn(fresh)
-                    if self.known is not before:  # started anew: the other words are needed too
-                        self.keep(need.difference(self.known))
-                finally:
-                    if collecting:
-                        gc.enable()
-            for words in split:
-                yield b"".join(map(self.known.__getitem__, words))
-            at = upto
-
-
-def parts_of(words: set[str]) -> Iterator[list[str]]:
-    todo = list(words)
-    return (todo[at : at + 500] for at in range(0, len(todo), 500))
+        while at < len(rows):
+            end = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + BATCH_CHARS, side="right"))
+            end = max(end, at + 1)  # a longer text is a batch of its own
+            collecting = gc.isenabled()
+            gc.disable()  # many small objects, none of them in cycles
+            try:
+                done = list(self.encode_batch(rows.slice(at, end - at)))
+            finally:
+                if collecting:
+                    gc.enable()
+            yield from done
+            at = end
+
+
+def parts_of(words: list[str]) -> Iterator[list[str]]:
+    return (words[at : at + 500] for at in range(0, len(words), 500))
 
 
 def split_at(ids: np.ndarray, cuts: np.ndarray) -> list[bytes]:
@@ -165,7 +184,7 @@ def pieces(docs: DataFrame, key: str, text: str, tokenizer: str, size: int, end_
         encode_all = encoder(public_tokenizers.path(tokenizer)).encode_all
         for batch in batches:
             which, out = [], []
-            for row, ids in enumerate(encode_all(batch["_text"].to_pylist())):
+            for row, ids in enumerate(encode_all(batch["_text"])):
                 ids += end
                 for nth, at in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[at : at + 4 * size]
