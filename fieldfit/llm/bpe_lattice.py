@@ -83,6 +83,7 @@ class Lattice:
 
 
 BYTES = [bytes([b]) for b in range(256)]
+START = ((b"", None, 0),)  # the state before a word
 
 
 class CountTransducer:
@@ -99,8 +100,8 @@ class CountTransducer:
         self._reset()
 
     def _reset(self) -> None:
-        self.states: list[tuple] = [((b"", None, 0),)]
-        self.number: dict[tuple, int] = {self.states[0]: 0}
+        self.states: list[tuple] = [START]
+        self.number: dict[tuple, int] = {START: 0}
         # (state, byte) in one integer to (next state, change + 128) in one integer
         self.steps: dict[int, int] = {}
 
@@ -127,11 +128,25 @@ class CountTransducer:
         """Number of tokens of ``word``: the sum over the transitions."""
         if len(self.states) > self.most:
             self._reset()
-        state, total, taken = 0, 0, self.steps.get
-        for byte in word:
+        return self._walk(0, word)[1]
+
+    def run(self, entry: tuple, part: bytes) -> tuple[tuple, int]:
+        """The state after ``part`` of a word, read from state ``entry``, and the change of the count."""
+        if len(self.states) > self.most:
+            self._reset()
+        state = self.number.get(entry)
+        if state is None:
+            state = self.number[entry] = len(self.states)
+            self.states.append(entry)
+        state, change = self._walk(state, part)
+        return self.states[state], change
+
+    def _walk(self, state: int, part: bytes) -> tuple[int, int]:
+        total, taken = 0, self.steps.get
+        for byte in part:
             step = taken(state << 8 | byte)
             if step is None:
                 step = self._compile(state, byte)
             state = step >> 8
             total += (step & 255) - 128
-        return total
+        return state, total
