@@ -176,7 +176,13 @@ def exact_duplicates(
 
 
 def kept_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that stay when every group keeps one."""
+    """The rows of ``docs``, all columns, that stay when every group keeps one.
+
+    * The row with the smallest key stays; one of rows equal in key and text.
+    * A NULL text is equal to an empty one. Rows with a NULL key stay only where
+      ``exact_duplicates`` marks them as kept.
+    * Other columns may have any name; an empty table gives an empty result.
+    """
     return keep_rows(docs, exact_duplicates(docs, key, text), key, text)
 
 
