@@ -3,9 +3,15 @@
 import datetime as dt
 import re
 
-from fieldfit.bindings import views
-from fieldfit.bindings.sample import RULES
+import pytest
+
+from fieldfit.bindings import queries as q
+from fieldfit.bindings import sample, views
+from fieldfit.bindings.sample import RULES, Sample
 from fieldfit.operators import contracts
+from fieldfit.plans import completeness
+
+SF = "/root/testdata/sf0.001"
 
 LINES = (
     "associated_company_id string, ticket_associated_deal_id string, data_inicio_assinatura date, product_id string, "
@@ -18,3 +24,38 @@ def test_no_deal_of_the_sample_is_denied(frame, rows):
     lines = frame(LINES, *[("c", d, dt.date(1997, 1, 1), "1", "Upsell", 1) for d in deals])
     assert rows(contracts.contract_grain(lines, RULES), "ticket_associated_deal_id") == sorted((d,) for d in deals)
     assert not re.search(r"deal_id\s+NOT IN\s*\('", " ".join(views.VIEWS.values()))
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def exchanges(df) -> int:
+    return len(re.findall(r"(?<!Reused)Exchange ", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_completeness_writes_no_copy_of_its_inputs(spark, monkeypatch):
+    monkeypatch.setattr(sample, "KEPT", {})
+    completeness.deal_base(Sample(spark, SF).warehouse(), sample.AS_OF, RULES)
+    assert sample.KEPT == {}
+
+
+def test_tickets_without_serials_read_no_deliveries_and_are_the_same(spark, rows):
+    s = Sample(spark, SF)
+    lean = s.cube(serials=False)
+    assert rows(lean) == rows(s.cube(), *lean.columns)
+    assert "l_partkey" not in lean._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_are_summed_where_they_were_joined(spark, no_broadcast):
+    lines = Sample(spark, SF).lines().drop("mrr_total_produto")
+    assert exchanges(contracts.compact_lines(lines, RULES)) == 2
+
+
+def test_graded_rows_are_stored_and_not_computed_twice(spark):
+    out = q.reconciled_grades(Sample(spark, SF))
+    assert "LogicalRDD" not in out._jdf.queryExecution().analyzed().toString()
+    assert all("graded-deals" in path for path in out.inputFiles())
