@@ -55,6 +55,17 @@ def test_lines_are_summed_where_they_were_joined(spark, no_broadcast):
     assert exchanges(contracts.compact_lines(lines, RULES)) == 2
 
 
+def test_field_visits_are_ranked_and_laid_out_in_one_shuffle(spark, no_broadcast):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert exchanges(Sample(spark, SF).field().repartition(parts, "ticket_id")) == 1
+
+
+def test_pairs_lie_by_ticket_already(spark, no_broadcast):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs = Sample(spark, SF).pairs()
+    assert exchanges(pairs.repartition(parts, "ticket_id")) == exchanges(pairs)
+
+
 def test_graded_rows_are_stored_and_not_computed_twice(spark):
     out = q.reconciled_grades(Sample(spark, SF))
     assert "LogicalRDD" not in out._jdf.queryExecution().analyzed().toString()
