@@ -74,7 +74,7 @@ def test_graded_rows_are_stored_and_not_computed_twice(spark):
 
 def test_queries_of_few_dashboard_columns_build_only_their_sides(spark, monkeypatch):
     monkeypatch.setattr(sample, "KEPT", {})
-    for build in (q.group_search,):
+    for build in (q.group_search, q.indicators):
         text = build(Sample(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
         assert sample.KEPT == {} and "esn_status" not in text
     assert "qtd_completude" not in q.group_search(Sample(spark, SF))._jdf.queryExecution().analyzed().toString()
