@@ -4,11 +4,12 @@ import datetime as dt
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from fieldfit.bindings import queries as q
 from fieldfit.bindings import sample, views
 from fieldfit.bindings.sample import RULES, Sample
-from fieldfit.operators import contracts
+from fieldfit.operators import contracts, esn
 from fieldfit.plans import completeness, dashboard
 
 SF = "/root/testdata/sf0.001"
@@ -94,6 +95,27 @@ def test_field_visits_are_shuffled_as_lines_not_as_texts(spark):
     assert "prestador " in plan and "prestador " not in plan.split("Exchange")[1]
 
 
+def test_dashboard_table_writes_no_snapshot_and_moves_no_list_of_serials(spark, no_broadcast, monkeypatch):
+    monkeypatch.setattr(sample, "KEPT", {})
+    q.dashboard_table(Sample(spark, SF))
+    assert sample.KEPT == {}
+
+
+def test_owner_companies_are_looked_up_once_per_serial(spark, no_broadcast):
+    s = Sample(spark, SF)
+    plan = esn.esn_validation(s.cube(), s.deliveries())._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(dono_ticket_id", plan)) == 2
+    assert not any("_spread" in line for line in plan.splitlines() if "Exchange hash" in line)
+
+
+def test_serial_lists_of_both_ticket_tables_share_a_shuffle(spark, no_broadcast):
+    s = Sample(spark, SF)
+    both = s.crm().select("hs_object_id", "ops_owner").join(
+        s.cube().select(F.col("ticket_id").alias("hs_object_id"), "instalacao__esns_processados"), "hs_object_id"
+    )
+    assert both.collect() and "ReusedExchange" in both._jdf.queryExecution().executedPlan().toString()
+
+
 TICKET = (
     "ticket_id string, display_name string, subject_raw string, pipeline_stage_label string, in_agendar_instalacao boolean, "
     "classe_instalacao string, owner_name string, owner_hubspot_id bigint, createdate timestamp, synced_at timestamp, "
