@@ -145,3 +145,9 @@ def test_tickets_without_id_or_repeated_keep_their_facts(frame, rows):
     made = [dashboard.dashboard(tickets, members, scores, field, deals, pairs, notes, day, bucketed=b) for b in (True, False)]
     assert made[0].columns == made[1].columns and rows(made[0]) == rows(made[1]) and len(rows(made[0])) == 2 * len(ids)
     assert sorted((r.id_grupo_economico, r.completude_nota_instalacao) for r in made[1].filter("ticket_id is null and company_id is not null").collect()) == [("g1", 4)] * 4
+
+
+def test_company_names_are_looked_up_by_key(spark, rows):
+    s = Sample(spark, SF)
+    assert "event_type" not in s.tickets_sync(named=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(q.dash_with(s), "ticket_id", "display_name") == rows(s.tickets_sync(), "ticket_id", "display_name")
